@@ -49,17 +49,17 @@ def query(build: Query) -> Query:
 
 def shown(result: DataFrame) -> DataFrame:
     """Times as text, whole numbers as BIGINT, and six decimals of the rest."""
-    columns = []
-    for f in result.schema:
-        value = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.TimestampType):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-        elif isinstance(f.dataType, T.IntegralType):
-            value = value.cast("bigint")
-        elif isinstance(f.dataType, T.FractionalType):
-            value = F.round(value.cast("double") + 1e-9, 6)
-        columns.append(value.alias(f.name))
-    return result.select(columns)
+    forms = {
+        T.TimestampType: "date_format(`{0}`, 'yyyy-MM-dd HH:mm:ss') AS `{0}`",
+        T.IntegralType: "bigint(`{0}`) AS `{0}`",
+        T.FractionalType: "round(double(`{0}`) + 1e-9D, 6) AS `{0}`",
+    }
+
+    def form(field: T.StructField) -> str:
+        fits = [sql for kind, sql in forms.items() if isinstance(field.dataType, kind)]
+        return (fits[0] if fits else "`{0}`").format(field.name)
+
+    return result.selectExpr(*map(form, result.schema))
 
 
 # --- readings -------------------------------------------------------------
@@ -284,10 +284,7 @@ def supervised_target(spark, folder):
     daily = tables.event_telemetry(spark, folder).select("node", "timestamp", "value_max")
     rows = add_series_columns(
         daily,
-        lambda w: {
-            "target": F.lead("value_max", DEFAULT_HORIZON).over(w),
-            "target_timestamp": F.lead("timestamp", DEFAULT_HORIZON).over(w),
-        },
+        lambda w: features.future_columns("value_max", DEFAULT_HORIZON, w),
         before=0, after=DEFAULT_HORIZON, step=EVENT_STEP, piece_steps=7,
     )
     return features.exactly_ahead(rows, DEFAULT_HORIZON, EVENT_STEP)

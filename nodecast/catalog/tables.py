@@ -61,25 +61,14 @@ def event_readings(spark: SparkSession, folder: str) -> DataFrame:
 
 def lineitem_readings(spark: SparkSession, folder: str) -> DataFrame:
     """One reading per lineitem row and metric that has a value there."""
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit("ganglia_pub" if name in GANGLIA_METRICS else "ipmi_pub").alias("plugin"),
-                F.lit(name).alias("metric"),
-                F.expr(value).cast("double").alias("value"),
-            )
-            for name, value in LINEITEM_METRICS.items()
-        ]
+    values = [f"double({value}) AS `{name}`" for name, value in LINEITEM_METRICS.items()]
+    wide = table(spark, folder, "lineitem").selectExpr(
+        "string(l_suppkey) AS node", "timestamp(l_shipdate) AS timestamp", *values
     )
-    return (
-        table(spark, folder, "lineitem")
-        .select(
-            F.col("l_suppkey").cast("string").alias("node"),
-            F.col("l_shipdate").cast("timestamp").alias("timestamp"),
-            F.inline(entries),
-        )
-        .where("value IS NOT NULL")
-        .select("plugin", "metric", "node", "timestamp", "value")
+    long = wide.unpivot(["node", "timestamp"], list(LINEITEM_METRICS), "metric", "value")
+    plugin = F.when(F.col("metric").isin(*GANGLIA_METRICS), "ganglia_pub").otherwise("ipmi_pub")
+    return long.where("value IS NOT NULL").select(
+        plugin.alias("plugin"), "metric", "node", "timestamp", "value"
     )
 
 
@@ -90,7 +79,7 @@ def telemetry(spark: SparkSession, folder: str) -> DataFrame:
     ``lineitem_readings`` gives the same table.
     """
     week = floor_to(F.col("l_shipdate").cast("timestamp"), step_micros(WEEK))
-    averages = [F.avg(F.expr(e)).alias(name) for name, e in LINEITEM_METRICS.items()]
+    averages = [F.expr(f"avg({e}) AS `{name}`") for name, e in LINEITEM_METRICS.items()]
     aligned = (
         table(spark, folder, "lineitem")
         .groupBy(F.col("l_suppkey").cast("string").alias("node"), week.alias("timestamp"))
@@ -104,7 +93,7 @@ def event_telemetry(spark: SparkSession, folder: str) -> DataFrame:
     """A narrower wide table, one row per user and day."""
     day = floor_to(F.col("ts").cast("timestamp"), step_micros(EVENT_STEP)).alias("timestamp")
     by_type = [
-        F.avg(F.when(F.col("event_type") == m, F.col("value"))).alias(m) for m in EVENT_METRICS
+        F.expr(f"avg(value) FILTER (WHERE event_type = '{m}') AS `{m}`") for m in EVENT_METRICS
     ]
     return (
         table(spark, folder, "events")

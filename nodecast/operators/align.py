@@ -17,15 +17,16 @@ from nodecast.config import (
 )
 from nodecast.functions.rowwise import present_count, present_max, present_mean, present_sum
 from nodecast.functions.timeline import as_utc, calendar_parts, floor_to, moment, step_micros
+from nodecast.operators.series import named_sql
 
-AGGREGATIONS = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "median": F.median}
+AGGREGATIONS = {"mean": "avg", "min": "min", "max": "max", "sum": "sum", "median": "median"}
 GRID_SPAN_STEPS = 10_000
 
 
-def _aggregate(name: str, value: Column) -> Column:
-    if name not in AGGREGATIONS:
-        raise ValueError(f"unknown aggregation {name!r}, use one of {sorted(AGGREGATIONS)}")
-    return AGGREGATIONS[name](value)
+def _sql_function(aggregation: str) -> str:
+    if aggregation not in AGGREGATIONS:
+        raise ValueError(f"unknown aggregation {aggregation!r}, use one of {sorted(AGGREGATIONS)}")
+    return AGGREGATIONS[aggregation]
 
 
 def aggregate_metric(
@@ -39,9 +40,8 @@ def aggregate_metric(
     """One metric as ``node, timestamp, <column>``, aggregated per step."""
     chosen = readings.where((F.col("plugin") == plugin) & (F.col("metric") == metric))
     start = floor_to(F.col("timestamp"), step_micros(step)).alias("timestamp")
-    return chosen.groupBy("node", start).agg(
-        _aggregate(aggregation, F.col("value")).alias(column or metric)
-    )
+    value = F.expr(f"{_sql_function(aggregation)}(value)")
+    return chosen.groupBy("node", start).agg(value.alias(column or metric))
 
 
 def merge_metric_frames(frames: Sequence[DataFrame]) -> DataFrame:
@@ -69,10 +69,11 @@ def align_metrics(
     """
     columns = aligned_metrics() if columns is None else columns
     start = floor_to(F.col("timestamp"), step_micros(step)).alias("timestamp")
-    aggregates = []
-    for column, (plugin, metric) in columns.items():
-        value = F.when((F.col("plugin") == plugin) & (F.col("metric") == metric), F.col("value"))
-        aggregates.append(_aggregate(aggregation, value).alias(column))
+    function = _sql_function(aggregation)
+    aggregates = {
+        column: f"{function}(value) FILTER (WHERE plugin = '{plugin}' AND metric = '{metric}')"
+        for column, (plugin, metric) in columns.items()
+    }
     wanted = reduce(
         Column.__or__,
         [
@@ -81,7 +82,7 @@ def align_metrics(
             for plugin in sorted({p for p, _ in columns.values()})
         ],
     )
-    return readings.where(wanted).groupBy("node", start).agg(*aggregates)
+    return readings.where(wanted).groupBy("node", start).agg(*map(F.expr, named_sql(aggregates)))
 
 
 def summarize_core_temperatures(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from nodecast.config import DEFAULT_FEATURES, DEFAULT_HORIZON, DEFAULT_STEP, PIECE_STEPS, FeaturePlan
 from nodecast.functions.rowwise import is_number
 from nodecast.functions.timeline import micros_interval, minute_cycle, step_micros
-from nodecast.operators.series import add_series_columns
+from nodecast.operators.series import Over, add_series_columns
 
 META = ("node", "timestamp")
 
@@ -28,36 +28,31 @@ class FeatureTable:
     target_column: str | None = None
 
 
-def lag_columns(signals: Sequence[str], lags: Sequence[int], window: WindowSpec) -> dict[str, Column]:
-    return {f"{s}_lag_{k}": F.lag(s, k).over(window) for s in signals for k in lags}
+def lag_columns(signals: Sequence[str], lags: Sequence[int], over: Over) -> dict[str, str]:
+    return {f"{s}_lag_{k}": over(f"lag(`{s}`, {k})") for s in signals for k in lags}
 
 
-def rolling_columns(
-    signals: Sequence[str], sizes: Sequence[int], window: WindowSpec
-) -> dict[str, Column]:
+def rolling_columns(signals: Sequence[str], sizes: Sequence[int], over: Over) -> dict[str, str]:
     """Mean (one value suffices) and sample deviation (two) over recent rows."""
     columns = {}
     for signal in signals:
         for size in sizes:
-            recent = window.rowsBetween(1 - size, 0)
-            columns[f"{signal}_roll_mean_{size}"] = F.avg(signal).over(recent)
-            columns[f"{signal}_roll_std_{size}"] = F.stddev_samp(signal).over(recent)
+            columns[f"{signal}_roll_mean_{size}"] = over.recent(f"avg(`{signal}`)", size)
+            columns[f"{signal}_roll_std_{size}"] = over.recent(f"stddev_samp(`{signal}`)", size)
     return columns
 
 
-def delta_columns(
-    signals: Sequence[str], lags: Sequence[int], window: WindowSpec
-) -> dict[str, Column]:
+def delta_columns(signals: Sequence[str], lags: Sequence[int], over: Over) -> dict[str, str]:
     return {
-        f"{s}_delta_{k}": F.col(s) - F.lag(s, k).over(window) for s in signals for k in lags
+        f"{s}_delta_{k}": f"`{s}` - " + over(f"lag(`{s}`, {k})") for s in signals for k in lags
     }
 
 
-def history_columns(plan: FeaturePlan, window: WindowSpec) -> dict[str, Column]:
+def history_columns(plan: FeaturePlan, over: Over) -> dict[str, str]:
     return (
-        lag_columns(plan.lag_signals, plan.lags, window)
-        | rolling_columns(plan.trend_signals, plan.rolling_rows, window)
-        | delta_columns(plan.trend_signals, plan.delta_lags, window)
+        lag_columns(plan.lag_signals, plan.lags, over)
+        | rolling_columns(plan.trend_signals, plan.rolling_rows, over)
+        | delta_columns(plan.trend_signals, plan.delta_lags, over)
     )
 
 
@@ -75,7 +70,7 @@ def engineer_rows(
     """All rows with their lags, rolling statistics, deltas and time of day."""
     rows = add_series_columns(
         _numeric_flags(table),
-        lambda window: history_columns(plan, window),
+        lambda over: history_columns(plan, over),
         before=plan.reach,
         step=step,
         piece_steps=piece_steps,
@@ -100,12 +95,8 @@ def build_supervised(
     if target_column not in table.columns:
         raise ValueError(f"there is no target column {target_column}")
 
-    def columns(window: WindowSpec) -> dict[str, Column]:
-        future = {
-            "target": F.lead(target_column, horizon).over(window).cast("double"),
-            "target_timestamp": F.lead("timestamp", horizon).over(window),
-        }
-        return history_columns(plan, window) | future
+    def columns(over: Over) -> dict[str, str]:
+        return history_columns(plan, over) | future_columns(target_column, horizon, over)
 
     rows = add_series_columns(
         _numeric_flags(table), columns, plan.reach, horizon, step, piece_steps
@@ -117,6 +108,13 @@ def build_supervised(
     return FeatureTable(frame, features, target_column)
 
 
+def future_columns(target_column: str, horizon: int, over: Over) -> dict[str, str]:
+    return {
+        "target": over(f"lead(double(`{target_column}`), {horizon})"),
+        "target_timestamp": over(f"lead(timestamp, {horizon})"),
+    }
+
+
 def exactly_ahead(rows: DataFrame, horizon: int, step: str = DEFAULT_STEP) -> DataFrame:
     """Drop rows whose target is missing or, because of a gap, at another time."""
     due = F.col("timestamp") + micros_interval(horizon * step_micros(step))
@@ -198,10 +196,9 @@ def recent_rows(
     """
     reach = plan.reach
 
-    def columns(window: WindowSpec) -> dict[str, Column]:
-        oldest = F.first("timestamp").over(window.rowsBetween(-reach, 0))
-        lags = lag_columns(plan.history_columns, [max(plan.lags)], window)
-        return lags | {"_oldest": oldest}
+    def columns(over: Over) -> dict[str, str]:
+        lags = lag_columns(plan.history_columns, [max(plan.lags)], over)
+        return lags | {"_oldest": over.recent("first(timestamp)", reach + 1)}
 
     narrow = table.select(*META, *plan.history_columns)
     usable = add_series_columns(

@@ -10,7 +10,7 @@ from nodecast.config import DEFAULT_STEP, PIECE_STEPS
 from nodecast.functions.rowwise import is_number
 from nodecast.functions.timeline import iso_text, seconds_between
 from nodecast.operators.quantiles import exact_percentiles
-from nodecast.operators.series import add_series_columns
+from nodecast.operators.series import add_series_columns, named_sql
 
 
 def key_counts(table: DataFrame) -> DataFrame:
@@ -61,12 +61,15 @@ def sampling_gaps(
     """Seconds since the previous row of the same node; first rows have none."""
     keys = table.select("node", "timestamp")
 
-    def columns(window):
-        gap = seconds_between(F.col("timestamp"), F.lag("timestamp").over(window))
-        return {"gap_seconds": gap}
-
-    rows = add_series_columns(keys, columns, before=1, step=step, piece_steps=piece_steps)
-    return rows.dropna(subset=["gap_seconds"])
+    rows = add_series_columns(
+        keys,
+        lambda over: {"_previous": over("lag(timestamp)")},
+        before=1,
+        step=step,
+        piece_steps=piece_steps,
+    )
+    gap = seconds_between(F.col("timestamp"), F.col("_previous"))
+    return rows.dropna(subset=["_previous"]).select("node", "timestamp", gap.alias("gap_seconds"))
 
 
 def sampling_gap_summary(
@@ -89,11 +92,12 @@ def sampling_gap_summary(
 
 def missing_percent(table: DataFrame) -> DataFrame:
     """(column, missing_percent) with three decimals, for every column."""
-    shares = [
-        F.round(100 * F.avg(F.col(f"`{c}`").isNull().cast("double")), 3).alias(c)
-        for c in table.columns
-    ]
-    return _to_long(table.agg(*shares), {c: (c,) for c in table.columns}, ("missing_percent",))
+    shares = {c: f"round(100 * avg(double(`{c}` IS NULL)), 3)" for c in table.columns}
+    return _to_long(
+        table.agg(*map(F.expr, named_sql(shares))),
+        {c: (c,) for c in table.columns},
+        ("missing_percent",),
+    )
 
 
 def columns_with_gaps(table: DataFrame) -> DataFrame:
@@ -103,14 +107,11 @@ def columns_with_gaps(table: DataFrame) -> DataFrame:
 def numeric_ranges(table: DataFrame) -> DataFrame:
     """(column, minimum, maximum, mean) of every numeric column, in one pass."""
     names = [f.name for f in table.schema if is_number(f.dataType)]
-    parts = {"minimum": F.min, "maximum": F.max, "mean": F.avg}
-    wide = table.agg(
-        *[
-            take(F.col(f"`{c}`").cast("double")).alias(f"{c}:{part}")
-            for c in names
-            for part, take in parts.items()
-        ]
-    )
+    parts = {"minimum": "min", "maximum": "max", "mean": "avg"}
+    figures = {
+        f"{c}:{part}": f"{take}(double(`{c}`))" for c in names for part, take in parts.items()
+    }
+    wide = table.agg(*map(F.expr, named_sql(figures)))
     return _to_long(wide, {c: tuple(f"{c}:{p}" for p in parts) for c in names}, tuple(parts))
 
 
@@ -119,13 +120,12 @@ def _to_long(
 ) -> DataFrame:
     """Turn the single row of a wide aggregate into one row per column."""
     entries = [
-        F.struct(
-            F.lit(column).alias("column"),
-            *[F.col(f"`{s}`").cast("double").alias(n) for s, n in zip(of, names)],
-        )
+        f"struct('{column}' AS `column`, "
+        + ", ".join(f"double(`{s}`) AS `{n}`" for s, n in zip(of, names))
+        + ")"
         for column, of in sources.items()
     ]
-    return one_row.select(F.inline(F.array(*entries)))
+    return one_row.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def node_ranges(

@@ -16,8 +16,9 @@ window adds a sort but no further exchange.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from nodecast.config import DEFAULT_STEP, PIECE_STEPS
 from nodecast.functions.timeline import floor_to, step_micros
@@ -25,9 +26,30 @@ from nodecast.functions.timeline import floor_to, step_micros
 PIECE, BORROWED = "_piece", "_borrowed"
 
 
+@dataclass(frozen=True)
+class Over:
+    """Writes SQL for functions over an ordered series.
+
+    Wide feature sets are stated as SQL text: a hundred window columns then
+    cost one call to Spark instead of several per column.
+    """
+
+    partition: tuple[str, ...]
+    order: str
+
+    def __call__(self, function: str, rows: str = "") -> str:
+        keys = ", ".join(f"`{c}`" for c in self.partition)
+        frame = f" ROWS BETWEEN {rows}" if rows else ""
+        return f"{function} OVER (PARTITION BY {keys} ORDER BY `{self.order}`{frame})"
+
+    def recent(self, function: str, count: int) -> str:
+        """Over the current row and those before it, ``count`` in all."""
+        return self(function, f"{count - 1} PRECEDING AND CURRENT ROW")
+
+
 def add_series_columns(
     table: DataFrame,
-    build: Callable[[WindowSpec], dict[str, Column]],
+    build: Callable[[Over], dict[str, str]],
     before: int,
     after: int = 0,
     step: str = DEFAULT_STEP,
@@ -37,11 +59,17 @@ def add_series_columns(
 ) -> DataFrame:
     """Add window columns that look at most ``before`` back and ``after`` ahead.
 
-    ``build`` gets the ordered window and returns the new columns by name.
+    ``build`` gets the series to write over and returns SQL by column name.
     """
-    pieces, window = series_pieces(table, before, after, step, piece_steps, key, order)
-    built = pieces.withColumns(build(window))
-    return built.where(~F.col(BORROWED)).drop(PIECE, BORROWED)
+    pieces = series_pieces(table, before, after, step, piece_steps, key, order)
+    columns = build(Over((key, PIECE), order))
+    names = [f"`{c}`" for c in (*table.columns, *columns)]
+    built = pieces.selectExpr("*", *named_sql(columns))
+    return built.where(f"NOT {BORROWED}").selectExpr(*names)
+
+
+def named_sql(columns: dict[str, str]) -> list[str]:
+    return [f"{sql} AS `{name}`" for name, sql in columns.items()]
 
 
 def series_pieces(
@@ -52,7 +80,8 @@ def series_pieces(
     piece_steps: int,
     key: str,
     order: str,
-) -> tuple[DataFrame, WindowSpec]:
+) -> DataFrame:
+    """The table cut into pieces, each with the borrowed rows it needs."""
     span = step_micros(step) * piece_steps
     window = Window.partitionBy(key, PIECE).orderBy(order)
     own = table.withColumn(PIECE, floor_to(F.col(order), span)).repartition(key, PIECE)
@@ -85,4 +114,4 @@ def series_pieces(
         )
         .repartition(key, PIECE)
     )
-    return own.withColumn(BORROWED, F.lit(False)).unionByName(borrowed), window
+    return own.withColumn(BORROWED, F.lit(False)).unionByName(borrowed)

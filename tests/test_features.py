@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from nodecast.operators.features import (
     align_feature_columns,
@@ -14,7 +14,7 @@ from nodecast.operators.features import (
     one_hot_nodes,
     recent_rows,
 )
-from nodecast.operators.series import add_series_columns
+from nodecast.operators.series import Over, add_series_columns, named_sql
 
 
 def test_future_target_and_lags(telemetry):
@@ -66,19 +66,19 @@ def gappy(spark):
 @pytest.mark.parametrize("before, after", [(10, 5), (1, 0), (3, 30), (25, 1)])
 @pytest.mark.parametrize("piece_steps", [1, 7, 64, 1000])
 def test_pieces_equal_whole_series(gappy, before, after, piece_steps):
-    def columns(w):
+    def columns(over):
         made = {
-            "old": F.lag("v", before).over(w),
-            "mean": F.avg("v").over(w.rowsBetween(-before, 0)),
-            "dev": F.stddev_samp("v").over(w.rowsBetween(-before, 0)),
+            "old": over(f"lag(v, {before})"),
+            "mean": over.recent("avg(v)", before + 1),
+            "dev": over.recent("stddev_samp(v)", before + 1),
         }
         if after:
-            made["next"] = F.lead("v", after).over(w)
-            made["due"] = F.lead("timestamp", after).over(w)
+            made["next"] = over(f"lead(v, {after})")
+            made["due"] = over(f"lead(timestamp, {after})")
         return made
 
     pieced = add_series_columns(gappy, columns, before, after, piece_steps=piece_steps)
-    whole = gappy.withColumns(columns(Window.partitionBy("node").orderBy("timestamp")))
+    whole = gappy.selectExpr("*", *named_sql(columns(Over(("node",), "timestamp"))))
     rounded = [
         F.round(c, 9).alias(c) if c in ("mean", "dev") else F.col(c) for c in whole.columns
     ]
