@@ -37,7 +37,7 @@ def write_report(spark: SparkSession, report: dict[str, Any], path: str) -> None
 
 def read_report(spark: SparkSession, path: str) -> dict[str, Any]:
     try:
-        rows = spark.read.option("wholetext", True).text(path)
+        rows = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no report at {path}") from error
