@@ -252,6 +252,19 @@ FROM wide""",
         + f"""SELECT node, {text('ts')}, {listed(near(c) for c in SIGNALS)},
   {listed(f'CAST({c} AS BIGINT) AS {c}' for c in WHOLE)}
 FROM wide WHERE cpu_temp_max IS NOT NULL AND node IN (SELECT node FROM chosen)""",
+        "prepared_with_empty_steps": with_(
+            machine,
+            prepared,
+            *TELEMETRY,
+            """grid AS (
+  SELECT node, ts FROM chosen, range(
+    time_bucket(INTERVAL 7 DAY, TIMESTAMP '1995-01-01', TIMESTAMP '1970-01-01'),
+    TIMESTAMP '2002-01-01', INTERVAL 7 DAY) AS r(ts))""",
+        )
+        + f"""SELECT grid.node, {text('grid.ts')}, {listed(near(c) for c in SIGNALS)},
+  CAST(hour(grid.ts) AS BIGINT) AS hour_utc,
+  CAST(isodow(grid.ts) - 1 AS BIGINT) AS day_of_week_utc
+FROM grid LEFT JOIN wide ON grid.node = wide.node AND grid.ts = wide.ts""",
         "calendar_columns": with_(EVENTS)
         + f"""SELECT node, {text('ts')}, {near('value')}, CAST(hour(ts) AS BIGINT) AS hour_utc,
   CAST(isodow(ts) - 1 AS BIGINT) AS day_of_week_utc FROM readings""",
@@ -314,6 +327,17 @@ keys AS (SELECT node, ts, count(*) AS n FROM shipments GROUP BY node, ts)"""
             f"{near(f'max({c})', 'maximum')}, {near(f'avg({c})', 'mean')} FROM wide"
             for c in NUMBERS
         ),
+        "column_profile": with_(DAILY)
+        + " UNION ALL ".join(
+            missing.format(n=n, c=c)
+            + "".join(
+                ", "
+                + near(f"{f}({c})" if c not in ("node", "ts") else "NULL", name)
+                for f, name in (("min", "minimum"), ("max", "maximum"), ("avg", "mean"))
+            )
+            + " FROM daily"
+            for n, c in all_daily
+        ),
         "node_ranges": with_(*TELEMETRY)
         + f"""SELECT node, count(*) AS rows,
   {near('round(avg(cpu_temp_max), 2)', 'temperature_mean')},

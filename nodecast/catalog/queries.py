@@ -152,7 +152,16 @@ def prepared_telemetry(spark, folder):
     readings = tables.lineitem_readings(spark, folder)
     chosen = coverage.best_covered(coverage.coverage_table(readings), 12).select("node")
     start, end = PERIOD
-    return wide_table(between(readings, start, end), chosen, start, end, WEEK)
+    return wide_table(readings, chosen, start, end, WEEK)
+
+
+@query
+def prepared_with_empty_steps(spark, folder):
+    """The same with a row for every week, also those without readings."""
+    readings = tables.lineitem_readings(spark, folder)
+    chosen = coverage.best_covered(coverage.coverage_table(readings), 12).select("node")
+    start, end = PERIOD
+    return wide_table(readings, chosen, start, end, WEEK, keep_empty=True)
 
 
 @query
@@ -216,6 +225,11 @@ def numeric_ranges(spark, folder):
     return quality.numeric_ranges(tables.telemetry(spark, folder))
 
 
+@query
+def column_profile(spark, folder):
+    return quality.column_profile(tables.event_telemetry(spark, folder))
+
+
 @query
 def node_ranges(spark, folder):
     return quality.node_ranges(tables.telemetry(spark, folder))

@@ -90,14 +90,19 @@ def sampling_gap_summary(
     )
 
 
+def column_profile(table: DataFrame) -> DataFrame:
+    """One row per column: ``column, missing_percent, minimum, maximum, mean``.
+
+    All columns in one pass; the ranges are NULL for columns that are not
+    numeric, and for numeric ones without values.
+    """
+    numeric = {f.name for f in table.schema if is_number(f.dataType)}
+    return _profile(table, tuple(table.columns), numeric)
+
+
 def missing_percent(table: DataFrame) -> DataFrame:
     """(column, missing_percent) with three decimals, for every column."""
-    shares = {c: f"round(100 * avg(double(`{c}` IS NULL)), 3)" for c in table.columns}
-    return _to_long(
-        table.agg(*map(F.expr, named_sql(shares))),
-        {c: (c,) for c in table.columns},
-        ("missing_percent",),
-    )
+    return _profile(table, tuple(table.columns), set()).select("column", "missing_percent")
 
 
 def columns_with_gaps(table: DataFrame) -> DataFrame:
@@ -105,27 +110,31 @@ def columns_with_gaps(table: DataFrame) -> DataFrame:
 
 
 def numeric_ranges(table: DataFrame) -> DataFrame:
-    """(column, minimum, maximum, mean) of every numeric column, in one pass."""
-    names = [f.name for f in table.schema if is_number(f.dataType)]
-    parts = {"minimum": "min", "maximum": "max", "mean": "avg"}
-    figures = {
-        f"{c}:{part}": f"{take}(double(`{c}`))" for c in names for part, take in parts.items()
-    }
+    """(column, minimum, maximum, mean) of every numeric column."""
+    names = tuple(f.name for f in table.schema if is_number(f.dataType))
+    return _profile(table, names, set(names)).drop("missing_percent")
+
+
+def _profile(table: DataFrame, columns: tuple[str, ...], numeric: set[str]) -> DataFrame:
+    """A wide single-row aggregate, turned into one row per column."""
+    figures, entries = {}, []
+    for place, column in enumerate(columns):
+        taken = {
+            "missing_percent": f"round(100 * avg(double(`{column}` IS NULL)), 3)",
+            "minimum": f"min(double(`{column}`))",
+            "maximum": f"max(double(`{column}`))",
+            "mean": f"avg(double(`{column}`))",
+        }
+        parts = [f"'{column}' AS `column`"]
+        for name, sql in taken.items():
+            if name == "missing_percent" or column in numeric:
+                figures[f"{name}_{place}"] = sql
+                parts.append(f"`{name}_{place}` AS `{name}`")
+            else:
+                parts.append(f"CAST(NULL AS DOUBLE) AS `{name}`")
+        entries.append(f"struct({', '.join(parts)})")
     wide = table.agg(*map(F.expr, named_sql(figures)))
-    return _to_long(wide, {c: tuple(f"{c}:{p}" for p in parts) for c in names}, tuple(parts))
-
-
-def _to_long(
-    one_row: DataFrame, sources: dict[str, tuple[str, ...]], names: tuple[str, ...]
-) -> DataFrame:
-    """Turn the single row of a wide aggregate into one row per column."""
-    entries = [
-        f"struct('{column}' AS `column`, "
-        + ", ".join(f"double(`{s}`) AS `{n}`" for s, n in zip(of, names))
-        + ")"
-        for column, of in sources.items()
-    ]
-    return one_row.selectExpr(f"inline(array({', '.join(entries)}))")
+    return wide.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def node_ranges(
@@ -155,15 +164,13 @@ def quality_report(table: DataFrame, step: str = DEFAULT_STEP) -> dict[str, Any]
     overview = quality_overview(table).first().asDict()
     gaps = sampling_gap_summary(table, step, at_most=overview["rows"]).first()
     nodes = rows_per_node(table).orderBy("node").collect()
-    missing = missing_percent(table).collect()
     return {
         "rows": overview["rows"],
         "columns": table.columns,
         **{k: v for k, v in overview.items() if k != "rows"},
         "rows_per_node": {row.node: row.rows for row in nodes},
         "sampling_gap_seconds": gaps.asDict() if gaps else None,
-        "missing_percent": {row.column: row.missing_percent for row in missing},
-        "numeric_ranges": _ranges(table),
+        **_column_entries(table),
     }
 
 
@@ -177,13 +184,18 @@ def summarize_data(table: DataFrame) -> dict[str, Any]:
         "nodes": [row.node for row in nodes],
         "timestamp_min": overview.timestamp_min,
         "timestamp_max": overview.timestamp_max,
-        "missing_percent": {r.column: r.missing_percent for r in missing_percent(table).collect()},
-        "numeric_ranges": _ranges(table),
+        **_column_entries(table),
     }
 
 
-def _ranges(table: DataFrame) -> dict[str, dict[str, float | None]]:
+def _column_entries(table: DataFrame) -> dict[str, dict[str, Any]]:
+    numeric = {f.name for f in table.schema if is_number(f.dataType)}
+    profile = column_profile(table).collect()
     return {
-        row.column: {"minimum": row.minimum, "maximum": row.maximum, "mean": row.mean}
-        for row in numeric_ranges(table).collect()
+        "missing_percent": {row.column: row.missing_percent for row in profile},
+        "numeric_ranges": {
+            row.column: {"minimum": row.minimum, "maximum": row.maximum, "mean": row.mean}
+            for row in profile
+            if row.column in numeric
+        },
     }

@@ -13,9 +13,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
+from pyspark.sql.types import StructType
 
 from nodecast.config import IN_MEMORY_VALUES
+from nodecast.session import materialize
 
 BINS = 1024
 
@@ -63,58 +65,68 @@ def exact_percentile(
 
 
 def values_at_ranks(
-    values: DataFrame, value: str, ranks: Sequence[int], in_memory: int = IN_MEMORY_VALUES
+    values: DataFrame,
+    value: str,
+    ranks: Sequence[int],
+    total: int,
+    in_memory: int = IN_MEMORY_VALUES,
 ) -> list[float]:
-    """The values at 0-based places of the sorted column (ranks must exist)."""
+    """The values at 0-based places among the ``total`` sorted values."""
     values = values.select(F.col(value).cast("double").alias("_v"))
-    total = values.count()
     if total <= in_memory:
         ordered = values.orderBy("_v")
         return [ordered.offset(rank).limit(1).first()[0] for rank in ranks]
+    values = materialize(values, "values")
     bounds = values.agg(F.min("_v").alias("low"), F.max("_v").alias("high"))
-    zero = F.lit(0).cast("bigint")
-    ranked = F.explode(F.array(*[F.lit(rank).cast("bigint") for rank in ranks]))
-    brackets = bounds.select("low", "high", zero.alias("below"), ranked.alias("rank"))
-    found = {row.rank: row.low for row in _meet(values, [], brackets)}
+    low, high = bounds.first()
+    whole = F.lit(0).cast("bigint")
+    schema = bounds.select("low", "high", whole.alias("below"), whole.alias("rank")).schema
+    wanted = [(low, high, 0, rank) for rank in ranks]
+    found = {row.rank: row.low for row in _meet(values, [], wanted, schema)}
     return [found[rank] for rank in ranks]
 
 
 def _narrowed(values: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
-    groups = values.groupBy(*keys).agg(
+    values = materialize(values, "values")  # every round reads them again
+    sizes = values.groupBy(*keys).agg(
         F.count("_v").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
     )
-    place = F.explode(F.array(*[F.lit(p) for p in probabilities])).alias("p")
-    exact = (F.col("n") - 1) * F.col("p")
-    wanted = groups.where("n > 0").select(*keys, "n", "low", "high", place)
-    both = F.array_distinct(F.array(F.floor(exact), F.ceil(exact)))
-    brackets = wanted.select(
-        *keys, "low", "high", F.lit(0).cast("bigint").alias("below"), F.explode(both).alias("rank")
-    ).distinct()
-
-    found: dict[tuple, float] = {}
-    for row in _meet(values, keys, brackets):
-        found[tuple(row[k] for k in keys) + (row.rank,)] = row.low
-    results = []
-    for group in groups.where("n > 0").toLocalIterator():
+    groups = [g for g in sizes.collect() if g.n]  # one short row per group
+    places = {n: [(n - 1) * p for p in probabilities] for n in {g.n for g in groups}}
+    wanted = {
+        (*(g[k] for k in keys), g.low, g.high, 0, rank)
+        for g in groups
+        for at in places[g.n]
+        for rank in (math.floor(at), math.ceil(at))
+    }
+    spark = values.sparkSession
+    brackets = sizes.select(
+        *keys, "low", "high", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("rank")
+    ).schema
+    held = {
+        (*(row[k] for k in keys), row.rank): row.low
+        for row in _meet(values, keys, list(wanted), brackets)
+    }
+
+    def interpolated(group, at: float) -> float:
         name = tuple(group[k] for k in keys)
-        percentiles = []
-        for p in probabilities:
-            at = (group.n - 1) * p
-            low, high = found[name + (math.floor(at),)], found[name + (math.ceil(at),)]
-            percentiles.append(low + (high - low) * (at - math.floor(at)))
-        results.append((*name, group.n, percentiles))
-    schema = groups.select(*keys, "n", F.array("low").alias("percentiles")).schema
-    return values.sparkSession.createDataFrame(results, schema)
+        low, high = held[(*name, math.floor(at))], held[(*name, math.ceil(at))]
+        return low + (high - low) * (at - math.floor(at))
+
+    results = [
+        (*(g[k] for k in keys), g.n, [interpolated(g, at) for at in places[g.n]]) for g in groups
+    ]
+    schema = sizes.select(*keys, "n", F.array("low").alias("percentiles")).schema
+    return spark.createDataFrame(results, schema)
 
 
-def _meet(values: DataFrame, keys: list[str], brackets: DataFrame) -> list:
+def _meet(values: DataFrame, keys: list[str], open_rows: list, schema: StructType) -> list[Row]:
     """Narrow every (group, rank) bracket until its bounds are equal.
 
     The brackets on the driver are one short row per group and rank, never
     data; the rows returned are the final ones.
     """
-    schema = brackets.schema
-    open_rows, done = brackets.collect(), []
+    open_rows, done = [Row(*schema.names)(*row) for row in open_rows], []
     while True:
         done += [row for row in open_rows if row.low == row.high]
         open_rows = [row for row in open_rows if row.low != row.high]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from nodecast.config import IN_MEMORY_VALUES
 from nodecast.functions.timeline import moment
 from nodecast.operators.quantiles import values_at_ranks
+from nodecast.session import materialize
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
@@ -57,8 +58,10 @@ def split_boundaries(
     looked up by operators/quantiles.py.
     """
     times = rows.select(F.unix_micros("target_timestamp").alias("at")).distinct()
-    places = boundary_positions(times.count(), train_ratio, validation_ratio)
-    found = values_at_ranks(times, "at", places, in_memory)
+    times = materialize(times, "target-times")  # the rows themselves are read once
+    total = times.count()
+    places = boundary_positions(total, train_ratio, validation_ratio)
+    found = values_at_ranks(times, "at", places, total, in_memory)
     epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
     train_end, validation_end = (epoch + timedelta(microseconds=int(at)) for at in found)
     return train_end, validation_end

@@ -29,7 +29,7 @@ from nodecast.operators.align import (
 from nodecast.operators.coverage import best_covered, choose_nodes, coverage_table, parse_node_list
 from nodecast.operators.quality import summarize_data
 from nodecast.session import use_utc
-from nodecast.sources.readings import on_nodes, read_readings
+from nodecast.sources.readings import between, on_nodes, read_readings
 from nodecast.sources.sinks import (
     data_dictionary,
     with_column_notes,
@@ -56,20 +56,24 @@ def requested_period(start: str | datetime, days: int) -> tuple[datetime, dateti
 def wide_table(
     readings: DataFrame,
     nodes: DataFrame,
-    start: datetime,
-    end: datetime,
+    start: datetime | str,
+    end: datetime | str,
     step: str = DEFAULT_STEP,
+    keep_empty: bool = False,
 ) -> DataFrame:
-    """Readings of the chosen nodes as the complete wide table.
+    """Readings of the chosen nodes, in the period, as the wide table.
 
-    ``readings`` are those of the period.  The grid starts at the step that
-    holds ``start``, as the buckets do.
+    A step without a core temperature is dropped.  The complete grid only adds
+    such steps, so it is built (and joined) only if they are to be kept; it
+    then starts at the step that holds ``start``, as the buckets do.
     """
-    aligned = summarize_core_temperatures(align_metrics(on_nodes(readings, nodes), step=step))
-    aligned_start = floor_moment(start, step_micros(step))
-    full = add_complete_time_grid(aligned, nodes, aligned_start, end, step)
-    table = with_target_rows(add_derived_columns(full))
-    return table.select(*REQUIRED_COLUMNS)
+    readings = on_nodes(between(readings, start, end), nodes)
+    table = summarize_core_temperatures(align_metrics(readings, step=step))
+    if keep_empty:
+        first = floor_moment(start, step_micros(step))
+        table = add_complete_time_grid(table, nodes, first, end, step)
+    table = add_derived_columns(table)
+    return (table if keep_empty else with_target_rows(table)).select(*REQUIRED_COLUMNS)
 
 
 def prepare(

@@ -12,6 +12,7 @@ from nodecast.plans.inspect import inspect
 from nodecast.plans.predict import predict
 from nodecast.plans.prepare import prepare, requested_period
 from nodecast.plans.train import train
+from nodecast.session import shared_folder
 
 START = datetime(2021, 3, 3, tzinfo=timezone.utc)
 MINUTES, NODES = 150, ("119", "35", "7")
@@ -186,3 +187,7 @@ def test_train_rejects(spark, trained):
         train(spark, trained[0], "m", "r", task="noise")
     with pytest.raises(ValueError, match="unknown task"):
         evaluate(spark, trained[0], "m", "noise")
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")

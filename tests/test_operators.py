@@ -82,7 +82,7 @@ def test_percentile_of_all_and_ranks(numbers, in_memory):
         statistics.median(values)
     )
     places = [0, 17, 2500, len(values) - 1]
-    got = values_at_ranks(frame.dropna(), "v", places, in_memory)
+    got = values_at_ranks(frame.dropna(), "v", places, len(values), in_memory)
     assert got == [values[p] for p in places]
 
 
