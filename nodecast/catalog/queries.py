@@ -17,6 +17,7 @@ from nodecast.config import (
     ROLLING_ROWS,
     TASKS,
     TREND_SIGNALS,
+    FeaturePlan,
 )
 from nodecast.functions.timeline import calendar_parts, minute_cycle
 from nodecast.models.candidates import LABEL, candidate_models, fit_candidate
@@ -31,6 +32,14 @@ from nodecast.session import materialize, use_utc
 from nodecast.sources.readings import between, on_nodes
 from nodecast.sources.telemetry import key_problems
 
+# the features that the queries on baseline forecasts need
+FEW_FEATURES = FeaturePlan(
+    lag_signals=DEFAULT_FEATURES.history_columns,
+    lags=(10,),
+    trend_signals=(TASKS["temperature"].column, TASKS["power"].column),
+    delta_lags=(),
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -152,7 +161,7 @@ def prepared_telemetry(spark, folder):
     readings = tables.lineitem_readings(spark, folder)
     chosen = coverage.best_covered(coverage.coverage_table(readings), 12).select("node")
     start, end = PERIOD
-    return wide_table(readings, chosen, start, end, WEEK)
+    return wide_table(on_nodes(readings, chosen), start, end, WEEK)
 
 
 @query
@@ -161,7 +170,7 @@ def prepared_with_empty_steps(spark, folder):
     readings = tables.lineitem_readings(spark, folder)
     chosen = coverage.best_covered(coverage.coverage_table(readings), 12).select("node")
     start, end = PERIOD
-    return wide_table(readings, chosen, start, end, WEEK, keep_empty=True)
+    return wide_table(on_nodes(readings, chosen), start, end, WEEK, chosen)
 
 
 @query
@@ -316,9 +325,9 @@ def history_filter(spark, folder):
     return rows.dropna(subset=names).select("node", "timestamp", *names)
 
 
-def supervised(spark, folder, task=TEMPERATURE):
+def supervised(spark, folder, task=TEMPERATURE, plan=DEFAULT_FEATURES):
     wide = tables.telemetry(spark, folder)
-    return features.build_supervised(wide, task.column, DEFAULT_HORIZON, step=WEEK)
+    return features.build_supervised(wide, task.column, DEFAULT_HORIZON, plan, WEEK)
 
 
 @query
@@ -328,7 +337,7 @@ def supervised_full(spark, folder):
 
 @query
 def supervised_power(spark, folder):
-    frame = supervised(spark, folder, POWER).frame
+    frame = supervised(spark, folder, POWER, FEW_FEATURES).frame
     return frame.select("node", "timestamp", "target_timestamp", POWER.column, "target")
 
 
@@ -346,7 +355,8 @@ def latest_per_node(spark, folder):
 @query
 def forecast_rows(spark, folder):
     recent = features.recent_rows(tables.telemetry(spark, folder), step=WEEK)
-    rows = features.latest_per_node(features.build_inference_features(recent, step=WEEK).frame)
+    usable = features.build_inference_features(recent, FEW_FEATURES, WEEK)
+    rows = features.latest_per_node(usable.frame)
     return forecast_output(
         rows, TEMPERATURE.column, TEMPERATURE.column, DEFAULT_HORIZON, WEEK, TEMPERATURE.unit
     )
@@ -371,7 +381,7 @@ def one_hot_nodes(spark, folder):
 
 def _narrow(spark, folder, task=TEMPERATURE):
     """Supervised rows with the few columns that the metrics need, written once."""
-    data = supervised(spark, folder, task)
+    data = supervised(spark, folder, task, FEW_FEATURES)
     means = [f"{task.column}_roll_mean_{n}" for n in ROLLING_ROWS]
     rows = data.frame.select(
         "node", "timestamp", "target_timestamp", "target", task.column, *means
@@ -402,7 +412,9 @@ def train_part_medians(spark, folder):
     """Medians of the signals over the train part only."""
     wide = tables.telemetry(spark, folder)
     signals = features.numeric_features(wide)
-    rows = supervised(spark, folder).frame.select("node", "target_timestamp", *signals)
+    rows = supervised(spark, folder, plan=FEW_FEATURES).frame.select(
+        "node", "target_timestamp", *signals
+    )
     parts = split.chronological_split(materialize(rows, "signals"))
     bound = tables.lineitem_rows(spark, folder)
     return train_medians(parts.part(split.TRAIN), signals, bound)
@@ -419,7 +431,7 @@ def persistence_metrics(spark, folder):
 
 @query
 def persistence_metrics_by_node(spark, folder):
-    rows = supervised(spark, folder, POWER).frame
+    rows = supervised(spark, folder, POWER, FEW_FEATURES).frame
     return metrics.regression_metrics(
         rows, "target", POWER.column, POWER.tolerances, ["node"],
         at_most=tables.lineitem_rows(spark, folder),

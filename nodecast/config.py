@@ -165,9 +165,7 @@ class FeaturePlan:
     @property
     def reach(self) -> int:
         """Rows of history that the longest feature looks back."""
-        return max(
-            *self.lags, *self.delta_lags, *(rows - 1 for rows in self.rolling_rows)
-        )
+        return max((*self.lags, *self.delta_lags, *(rows - 1 for rows in self.rolling_rows)))
 
 
 DEFAULT_FEATURES = FeaturePlan()
@@ -180,6 +178,9 @@ RIDGE_ALPHA = 100.0
 # series is worked on by many tasks (operators/series.py).
 PIECE_STEPS = 65_536
 
+# Longer lists of nodes are joined instead of being stated in a filter.
+NODE_LIST_LIMIT = 1_000
+
 # Up to this many values per group an exact percentile may be taken in the
 # memory of one task; beyond it operators/quantiles.py narrows in on it.
 IN_MEMORY_VALUES = 1_000_000

@@ -29,7 +29,7 @@ from nodecast.operators.align import (
 from nodecast.operators.coverage import best_covered, choose_nodes, coverage_table, parse_node_list
 from nodecast.operators.quality import summarize_data
 from nodecast.session import use_utc
-from nodecast.sources.readings import between, on_nodes, read_readings
+from nodecast.sources.readings import between, read_readings
 from nodecast.sources.sinks import (
     data_dictionary,
     with_column_notes,
@@ -55,25 +55,24 @@ def requested_period(start: str | datetime, days: int) -> tuple[datetime, dateti
 
 def wide_table(
     readings: DataFrame,
-    nodes: DataFrame,
     start: datetime | str,
     end: datetime | str,
     step: str = DEFAULT_STEP,
-    keep_empty: bool = False,
+    grid_nodes: DataFrame | None = None,
 ) -> DataFrame:
-    """Readings of the chosen nodes, in the period, as the wide table.
+    """Readings of chosen nodes and a period as the wide table.
 
     A step without a core temperature is dropped.  The complete grid only adds
-    such steps, so it is built (and joined) only if they are to be kept; it
-    then starts at the step that holds ``start``, as the buckets do.
+    such steps, so it is built (and joined) only to keep them, for the nodes in
+    ``grid_nodes``; it starts at the step that holds ``start``, as the buckets do.
     """
-    readings = on_nodes(between(readings, start, end), nodes)
-    table = summarize_core_temperatures(align_metrics(readings, step=step))
-    if keep_empty:
+    table = summarize_core_temperatures(align_metrics(between(readings, start, end), step=step))
+    if grid_nodes is not None:
         first = floor_moment(start, step_micros(step))
-        table = add_complete_time_grid(table, nodes, first, end, step)
-    table = add_derived_columns(table)
-    return (table if keep_empty else with_target_rows(table)).select(*REQUIRED_COLUMNS)
+        table = add_complete_time_grid(table, grid_nodes, first, end, step)
+    else:
+        table = with_target_rows(table)
+    return add_derived_columns(table).select(*REQUIRED_COLUMNS)
 
 
 def prepare(
@@ -111,8 +110,7 @@ def prepare(
     readings = read_readings(
         spark, root, list(aligned_metrics().values()), first, last, chosen
     )
-    node_table = spark.createDataFrame([(n,) for n in dict.fromkeys(chosen)], "node string")
-    table = wide_table(readings, node_table, first, last, step)
+    table = wide_table(readings, first, last, step)
     path = f"{output_dir}/telemetry.parquet"
     write_parquet(with_column_notes(table), path, sort=("node", "timestamp"))
     written = spark.read.parquet(path)

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from nodecast.config import NODE_LIST_LIMIT
 from nodecast.functions.rowwise import to_number
 from nodecast.functions.timeline import as_utc, moment, parse_timestamp
 
@@ -93,12 +94,15 @@ def between(
 def on_nodes(readings: DataFrame, nodes: Sequence[str] | DataFrame | None) -> DataFrame:
     """Rows of the listed nodes.
 
-    A Python list is a short, hand-sized list and becomes a predicate; a table
-    of nodes becomes a semi join, which Spark broadcasts only when its measured
-    size is below the broadcast threshold.
+    A short Python list becomes a predicate.  A long one, or a table of nodes,
+    becomes a semi join, which Spark broadcasts only when its measured size is
+    below the broadcast threshold.
     """
     if nodes is None:
         return readings
+    if not isinstance(nodes, DataFrame) and len(nodes) > NODE_LIST_LIMIT:
+        listed = [(str(n),) for n in nodes]
+        nodes = readings.sparkSession.createDataFrame(listed, "node string")
     if isinstance(nodes, DataFrame):
         return readings.join(nodes.select("node").distinct(), "node", "left_semi")
     return readings.where(F.col("node").isin([str(n) for n in nodes]))
@@ -119,9 +123,11 @@ def _stored_filter(
             keep = keep & (F.col("timestamp") >= low)
         if high is not None:
             keep = keep & (F.col("timestamp") < high)
-    if nodes is not None and isinstance(types["node"], T.StringType):
+    if nodes is None or len(nodes) > NODE_LIST_LIMIT:
+        return keep
+    if isinstance(types["node"], T.StringType):
         keep = keep & F.col("node").isin([str(n) for n in nodes])
-    if nodes is not None and isinstance(types["node"], T.IntegralType):
+    if isinstance(types["node"], T.IntegralType):
         ids = [int(n) for n in nodes if str(n).lstrip("-").isdecimal()]
         keep = keep & F.col("node").isin(ids)
     return keep

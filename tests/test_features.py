@@ -64,7 +64,7 @@ def gappy(spark):
 
 
 @pytest.mark.parametrize("before, after", [(10, 5), (1, 0), (3, 30), (25, 1)])
-@pytest.mark.parametrize("piece_steps", [1, 7, 64, 1000])
+@pytest.mark.parametrize("piece_steps", [1, 7, 64])
 def test_pieces_equal_whole_series(gappy, before, after, piece_steps):
     def columns(over):
         made = {

@@ -88,6 +88,13 @@ def test_filters_reach_the_files(spark, archive):
     assert "GreaterThanOrEqual(timestamp" in plan
 
 
+def test_long_node_lists_are_joined(spark, archive):
+    many = [str(n) for n in range(8, 3000)]
+    rows = read_readings(spark, archive, METRICS, nodes=many)
+    assert {r.node for r in rows.collect()} == {"8"}
+    assert "LeftSemi" in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_node_filter_by_table(spark, archive):
     rows = read_readings(spark, archive, METRICS[1:])
     nodes = spark.createDataFrame([("8",), ("8",), ("9",)], "node string")
