@@ -1,30 +1,36 @@
-"""Column functions across several columns of one row; NULLs are skipped."""
+"""Column functions across several columns of one row; NULLs are skipped.
+
+They take column names and are stated as SQL text, which stays inside generated
+code and costs one call to Spark however many columns there are.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, and_
 
 from pyspark.sql import Column, functions as F, types as T
 
 
-def present_count(columns: Sequence[Column]) -> Column:
-    return reduce(add, [c.isNotNull().cast("int") for c in columns])
+def _joined(template: str, names: Sequence[str], by: str) -> str:
+    return "(" + by.join(template.format(f"`{name}`") for name in names) + ")"
+
+
+def present_count(names: Sequence[str]) -> Column:
+    return F.expr(_joined("int({} IS NOT NULL)", names, " + "))
 
 
-def present_sum(columns: Sequence[Column]) -> Column:
+def present_sum(names: Sequence[str]) -> Column:
     """Sum of the values that are there; NULL only if none is."""
-    total = reduce(add, [F.coalesce(c, F.lit(0.0)) for c in columns])
-    return F.when(~reduce(and_, [c.isNull() for c in columns]), total)
+    total, none = _joined("coalesce({}, 0D)", names, " + "), _joined("{} IS NULL", names, " AND ")
+    return F.expr(f"CASE WHEN NOT {none} THEN {total} END")
 
 
-def present_mean(columns: Sequence[Column]) -> Column:
-    return present_sum(columns) / F.nullif(present_count(columns), F.lit(0))
+def present_mean(names: Sequence[str]) -> Column:
+    return present_sum(names) / F.nullif(present_count(names), F.lit(0))
 
 
-def present_max(columns: Sequence[Column]) -> Column:
-    return F.greatest(*columns) if len(columns) > 1 else columns[0]
+def present_max(names: Sequence[str]) -> Column:
+    return F.greatest(*names) if len(names) > 1 else F.col(names[0])
 
 
 def to_number(column: Column) -> Column:

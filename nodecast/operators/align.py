@@ -89,7 +89,7 @@ def summarize_core_temperatures(
     table: DataFrame, sensors: Sequence[str] = CORE_TEMPERATURE_METRICS
 ) -> DataFrame:
     """Replace the core sensors by their mean, maximum and count per row."""
-    values = [F.col(c) for c in sensors if c in table.columns]
+    values = [c for c in sensors if c in table.columns]
     summary = (
         present_mean(values),
         present_max(values),
@@ -153,7 +153,7 @@ def add_complete_time_grid(
 def add_derived_columns(table: DataFrame) -> DataFrame:
     """Sums over paired signals that are both columns, and calendar parts."""
     sums = {
-        name: present_sum([F.col(c) for c in parts])
+        name: present_sum(parts)
         for name, parts in DERIVED_SUMS.items()
         if set(parts) <= set(table.columns)
     }

@@ -84,6 +84,7 @@ def prepare(
     node_count: int = 12,
     nodes: Sequence[str] | str = (),
     step: str = DEFAULT_STEP,
+    also_csv: bool = True,
 ) -> Prepared:
     """Choose nodes, align their metrics and write the wide table.
 
@@ -116,7 +117,8 @@ def prepare(
     written = spark.read.parquet(path)
     if written.isEmpty():
         raise RuntimeError("the period has no temperature rows; move the start or take more days")
-    write_csv(written, f"{output_dir}/telemetry.csv.gz", gzip=True, sort=("node", "timestamp"))
+    if also_csv:
+        write_csv(written, f"{output_dir}/telemetry.csv.gz", gzip=True, sort=("node", "timestamp"))
     write_csv(data_dictionary(written), f"{output_dir}/data-dictionary")
 
     summary = summarize_data(written) | {

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from nodecast.config import REQUIRED_COLUMNS
 from nodecast.functions.rowwise import to_number
 from nodecast.functions.timeline import parse_timestamp
+from nodecast.session import materialize
 
 SMALL_TYPES = {"hour_utc": "smallint", "day_of_week_utc": "tinyint"}
 CORE_NUMBERS = tuple(c for c in REQUIRED_COLUMNS if c not in ("node", "timestamp"))
@@ -41,6 +42,8 @@ def load_telemetry(
         # one gzip file is one task; spread its rows before any work is done
         stored = stored.repartition("node", "timestamp")
     table = typed_telemetry(stored, _numeric_extras(stored) if as_csv else ())
+    if as_csv:  # text is parsed once; all later jobs read its columns
+        table = materialize(table, "telemetry")
     check_keys(table)
     return table
 
