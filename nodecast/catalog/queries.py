@@ -209,9 +209,7 @@ def rows_per_node(spark, folder):
 
 @query
 def sampling_gap(spark, folder):
-    return quality.sampling_gap_summary(
-        tables.telemetry(spark, folder), WEEK, at_most=tables.lineitem_rows(spark, folder)
-    )
+    return quality.sampling_gap_summary(tables.telemetry(spark, folder), WEEK)
 
 
 @query

@@ -29,20 +29,25 @@ def exact_percentiles(
     probabilities: Sequence[float],
     at_most: int | None = None,
     in_memory: int = IN_MEMORY_VALUES,
+    weight: str | None = None,
 ) -> DataFrame:
     """Linearly interpolated percentiles of ``value`` per group of ``keys``.
 
     Returns the keys, ``n`` (values that are there) and ``percentiles`` (array
     in the order asked for).  ``at_most`` is a proven bound on the rows of any
-    group; without one the group sizes are counted first.
+    group; without one the group sizes are counted first.  With ``weight`` a
+    row stands for that many equal values.
     """
-    values = values.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=["_v"])
+    times = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    values = values.select(
+        *keys, F.col(value).cast("double").alias("_v"), times.alias("_w")
+    ).dropna(subset=["_v"])
     if at_most is None:
         at_most = largest_group(values, keys)
     if at_most <= in_memory:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         return values.groupBy(*keys).agg(
-            F.count("_v").alias("n"), F.percentile("_v", wanted).alias("percentiles")
+            F.sum("_w").alias("n"), F.percentile("_v", wanted, F.col("_w")).alias("percentiles")
         )
     return _narrowed(values, list(keys), [float(p) for p in probabilities])
 
@@ -72,10 +77,11 @@ def values_at_ranks(
     in_memory: int = IN_MEMORY_VALUES,
 ) -> list[float]:
     """The values at 0-based places among the ``total`` sorted values."""
-    values = values.select(F.col(value).cast("double").alias("_v"))
+    one = F.lit(1).cast("bigint")
+    values = values.select(F.col(value).cast("double").alias("_v"), one.alias("_w"))
     if total <= in_memory:
         ordered = values.orderBy("_v")
-        return [ordered.offset(rank).limit(1).first()[0] for rank in ranks]
+        return [ordered.offset(rank).limit(1).first()._v for rank in ranks]
     values = materialize(values, "values")
     bounds = values.agg(F.min("_v").alias("low"), F.max("_v").alias("high"))
     low, high = bounds.first()
@@ -89,7 +95,7 @@ def values_at_ranks(
 def _narrowed(values: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
     values = materialize(values, "values")  # every round reads them again
     sizes = values.groupBy(*keys).agg(
-        F.count("_v").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
+        F.sum("_w").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
     )
     groups = [g for g in sizes.collect() if g.n]  # one short row per group
     places = {n: [(n - 1) * p for p in probabilities] for n in {g.n for g in groups}}
@@ -157,10 +163,10 @@ def _bins(values: DataFrame, keys: list[str], brackets: DataFrame) -> DataFrame:
         matched = values.join(spans, keys)
     else:  # a handful of spans, stated as literals
         literals = [F.struct(F.lit(s.low).alias("low"), F.lit(s.high).alias("high")) for s in spans.collect()]
-        matched = values.select("_v", F.inline(F.array(*literals)))
+        matched = values.select("_v", "_w", F.inline(F.array(*literals)))
     matched = matched.where(F.col("_v").between(F.col("low"), F.col("high")))
     position = (F.col("_v") - F.col("low")) / (F.col("high") - F.col("low"))
     chosen = F.least(F.floor(position * BINS), F.lit(BINS - 1))
     return matched.groupBy(*keys, "low", "high", chosen.alias("bin")).agg(
-        F.count("_v").alias("held"), F.min("_v").alias("lowest"), F.max("_v").alias("highest")
+        F.sum("_w").alias("held"), F.min("_v").alias("lowest"), F.max("_v").alias("highest")
     )

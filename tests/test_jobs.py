@@ -21,7 +21,7 @@ MINUTES, NODES = 150, ("119", "35", "7")
 @pytest.fixture(scope="module")
 def archive(spark, tmp_path_factory):
     """Two readings a minute per metric and node; node 7 lacks cpu_user."""
-    root = str(tmp_path_factory.mktemp("raw") / "year_month=21-03")
+    root = str(tmp_path_factory.mktemp("raw") / "month")
     singles = {m: ("ganglia_pub" if m in GANGLIA_METRICS else "ipmi_pub") for m in
                CORE_TEMPERATURE_METRICS + IPMI_METRICS + GANGLIA_METRICS}
     rows = []
@@ -34,7 +34,6 @@ def archive(spark, tmp_path_factory):
                     continue
                 value = 50 + 5 * place + 10 * wave + number + (half * 7919 % 13) / 10
                 rows.append((plugin, metric, at, value, node))
-    # the last hour of the day is outside every period asked for
     frame = spark.createDataFrame(
         rows, "plugin string, metric string, timestamp timestamp, value double, node string"
     )

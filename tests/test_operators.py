@@ -86,6 +86,17 @@ def test_percentile_of_all_and_ranks(numbers, in_memory):
     assert got == [values[p] for p in places]
 
 
+@pytest.mark.parametrize("in_memory", [0, 10**6])
+def test_weighted_percentiles(numbers, in_memory):
+    _, frame = numbers
+    counted = frame.groupBy("g", "v").agg(F.count(F.lit(1)).alias("times"))
+    plain = exact_percentiles(frame, ["g"], "v", [0.3, 0.5])
+    heavy = exact_percentiles(counted, ["g"], "v", [0.3, 0.5], None, in_memory, "times")
+    assert {r.g: (r.n, r.percentiles) for r in heavy.collect()} == {
+        r.g: (r.n, pytest.approx(r.percentiles)) for r in plain.collect()
+    }
+
+
 def test_percentile_of_nothing(spark):
     assert exact_percentile(spark.createDataFrame([], "v double"), "v", 0.5) is None
 
