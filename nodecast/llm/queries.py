@@ -12,10 +12,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nodecast.llm import bpe_codec, token_counts
+from nodecast.llm import bpe_codec, simhash, token_counts
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+SHINGLE, MAX_BITS = 3, 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,6 +31,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents"), SHINGLE, MAX_BITS)
+
+
 @query
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every text and of what they decode to."""
