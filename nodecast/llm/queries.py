@@ -12,14 +12,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nodecast.llm import bpe_codec, simhash, token_counts
+from nodecast.llm import bpe_codec, decontaminate, oracle, simhash, token_counts
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 SHINGLE, MAX_BITS = 3, 2
+WINDOW, ONE_WORD_IN = 13, 20
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.SQL)
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
@@ -37,6 +38,14 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), SHINGLE, MAX_BITS)
 
 
+@query
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark passages in every document."""
+    return decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), WINDOW, ONE_WORD_IN
+    )
+
+
 @query
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every text and of what they decode to."""
