@@ -5,6 +5,8 @@ Each states its result directly from the contract, not by the operator's method.
 
 from __future__ import annotations
 
+from nodecast.llm import licenses
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -29,11 +31,12 @@ WITH d AS (
     SELECT DISTINCT item_id, n, array_to_string(w[s + 1 : s + n], ' ') AS phrase FROM places
 ), sizes AS (
     SELECT DISTINCT n FROM wins
-), starts AS (
-    SELECT r, w, unnest(range(0, len(w))) AS s FROM d
+), grams AS (
+    SELECT r, n, unnest(list_transform(range(0, greatest(len(w) - n + 1, 0)),
+        lambda s: {{'s': s, 'phrase': array_to_string(w[s + 1 : s + n], ' ')}})) AS g
+    FROM d, sizes
 ), found AS (
-    SELECT r, s, x.n, item_id FROM starts, sizes AS x
-    JOIN wins ON wins.n = x.n AND s + x.n <= len(w) AND phrase = array_to_string(w[s + 1 : s + x.n], ' ')
+    SELECT r, g.s AS s, grams.n, item_id FROM grams JOIN wins ON wins.phrase = g.phrase AND wins.n = grams.n
 ), hit AS (
     SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM found) GROUP BY r
 ), items AS (
@@ -45,3 +48,54 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
+
+TEMPLATES = ", ".join(
+    f"({i}, '{label}', {base}, {k}, string_split('{text}', ' '))"
+    for i, (label, base, k, text) in enumerate(
+        [(a, "true", licenses.SHORT, t) for a, t in licenses.BASE]
+        + [(a, "false", licenses.LONG, t) for a, t in licenses.PASSAGES]
+    )
+)
+
+SQL["op2_license_scan"] = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, {word_list('text')} AS w FROM documents
+), templates AS (
+    SELECT * FROM (VALUES {TEMPLATES}) AS t(template, label, base, k, tw)
+), tgrams AS (
+    SELECT template, label, base, k, len(tw) - k + 1 AS n_grams,
+        unnest(list_transform(range(0, len(tw) - k + 1),
+            lambda s: {{'s': s, 'gram': array_to_string(tw[s + 1 : s + k], ' ')}})) AS t
+    FROM templates
+), dgrams AS (
+    SELECT r, k, unnest(list_transform(range(0, greatest(len(w) - k + 1, 0)),
+        lambda s: {{'s': s, 'gram': array_to_string(w[s + 1 : s + k], ' ')}})) AS g
+    FROM d, (SELECT DISTINCT k FROM templates)
+), votes AS (
+    SELECT r, template, label, base, n_grams, g.s - t.s AS diagonal, t.s AS place
+    FROM dgrams JOIN tgrams ON g.gram = t.gram AND dgrams.k = tgrams.k
+), diagonals AS (
+    SELECT r, template, label, base, n_grams, diagonal, list(place) AS places FROM votes GROUP BY ALL
+), marked AS (
+    SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal)
+        > {licenses.SLACK}, true) AS apart FROM diagonals WHERE NOT base
+), merged AS (
+    SELECT *, sum(CAST(apart AS INT)) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM marked
+), rated AS (
+    SELECT r, label, NULL AS diagonal,
+        CAST(len(list_distinct(flatten(list(places)))) AS DOUBLE) / n_grams AS coverage
+    FROM merged GROUP BY r, template, label, n_grams, span
+    UNION ALL
+    SELECT r, label, diagonal, 1.0 FROM diagonals WHERE base AND len(places) = n_grams
+), found AS (
+    SELECT r, count(diagonal) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE diagonal IS NOT NULL) AS base_labels,
+        string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE coverage >= {licenses.ENOUGH}) AS labels,
+        max(coverage) AS score
+    FROM rated GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+    CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+    coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN found USING (r)
+"""

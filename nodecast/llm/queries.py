@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nodecast.llm import bpe_codec, decontaminate, oracle, simhash, token_counts
+from nodecast.llm import bpe_codec, decontaminate, licenses, oracle, simhash, token_counts
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -38,6 +38,12 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), SHINGLE, MAX_BITS)
 
 
+@query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and passages in every document."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The benchmark passages in every document."""
