@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nodecast.llm import bpe_codec, decontaminate, licenses, oracle, simhash, token_counts
+from nodecast.llm import bpe_codec, decontaminate, licenses, oracle, simhash, token_counts, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -52,6 +52,12 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity of every document."""
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every text and of what they decode to."""
