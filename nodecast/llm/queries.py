@@ -12,10 +12,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nodecast.llm import bpe_codec, decontaminate, licenses, oracle, simhash, token_counts, toxicity
+from nodecast.llm import bpe_codec, decontaminate, language, licenses, oracle, simhash, token_counts, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+LEVEL = 0.5
 SHINGLE, MAX_BITS = 3, 2
 WINDOW, ONE_WORD_IN = 13, 20
 
@@ -44,6 +45,13 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document from its text, record and source."""
+    documents = table(spark, folder, "documents")
+    return language.identify(documents, "lang", LEVEL, declared="lang", address="source")
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The benchmark passages in every document."""
