@@ -12,11 +12,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nodecast.llm import bpe_codec, decontaminate, language, licenses, oracle, simhash, token_counts, toxicity
+from nodecast.llm import bpe_codec, decontaminate, language, licenses, oracle, simhash, token_counts, toxicity, vectors
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 LEVEL = 0.5
+COSINE = 0.9
 SHINGLE, MAX_BITS = 3, 2
 WINDOW, ONE_WORD_IN = 13, 20
 
@@ -66,6 +67,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.near_duplicates(table(spark, folder, "embeddings"), COSINE)
+
+
 @query
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every text and of what they decode to."""
