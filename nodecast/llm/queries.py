@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from nodecast.llm import bpe_codec, decontaminate, language, licenses, oracle, simhash, token_counts, toxicity, vectors
+from nodecast.llm import bpe_codec, decontaminate, html_text, language, licenses, oracle, simhash, token_counts, toxicity, vectors
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -85,3 +85,9 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(
         table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), TOKEN_LIMIT
     )
+
+
+@query
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, folder, "pages"))
