@@ -99,3 +99,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
     coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
 FROM d LEFT JOIN found USING (r)
 """
+
+SQL["op8_warc_fixity"] = """
+WITH sized AS (
+    SELECT page_id, CAST(floor(page_id / 500) AS BIGINT) AS f,
+        strlen('WARC/1.1') + strlen('WARC-Type: resource') + strlen('WARC-Record-ID: <urn:record:>')
+        + strlen(CAST(page_id AS VARCHAR)) + strlen('WARC-Date: 2020-01-01T00:00:00Z')
+        + strlen('WARC-Target-URI: ') + strlen(coalesce(url, ''))
+        + strlen('Content-Type: text/html; charset=utf-8') + strlen('Content-Length: ')
+        + strlen(CAST(strlen(coalesce(html, '')) AS VARCHAR)) + 6 * 2 + 4 + strlen(coalesce(html, '')) + 4 AS n_bytes
+    FROM pages
+), placed AS (
+    SELECT *, sum(n_bytes) OVER (PARTITION BY f ORDER BY page_id) - n_bytes AS began FROM sized
+)
+SELECT page_id, 'pages-' || lpad(CAST(f AS VARCHAR), 9, '0') || '.warc' AS file, CAST(began AS BIGINT) AS "offset",
+    n_bytes, CASE WHEN page_id % 500 = 499 AND f % 2 = 1 THEN 'missing' ELSE 'differs' END AS state
+FROM placed WHERE page_id % 97 = 13 OR (page_id % 500 = 499 AND f % 2 = 1)
+"""

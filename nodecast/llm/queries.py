@@ -10,14 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nodecast.llm import bpe_codec, decontaminate, html_text, language, licenses, oracle, simhash, token_counts, toxicity, vectors
+from nodecast.llm import bpe_codec, decontaminate, html_text, language, licenses, oracle, simhash, token_counts, toxicity, vectors, warc
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
 LEVEL = 0.5
 COSINE = 0.9
+PER_FILE, DATE = 500, "2020-01-01T00:00:00Z"
 SHINGLE, MAX_BITS = 3, 2
 WINDOW, ONE_WORD_IN = 13, 20
 
@@ -79,6 +80,26 @@ def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.digests(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op8_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """The damaged records of a second replica of all pages as WARC records.
+
+    The second replica is derived from the pages too: in each id that leaves 13
+    when divided by 97 the first letter is another one, and every other file has
+    lost the record with its last id."""
+    pages = table(spark, folder, "pages")
+    key = F.col("page_id")
+    place = warc.file_of(key, PER_FILE).alias("file")
+    whole = pages.select(place, key.alias("key"), warc.record(key, F.col("url"), F.col("html"), DATE).alias("record"))
+    rotten = F.when(key % 97 == 13, F.concat(F.lit("X"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
+    lost = (key % PER_FILE == PER_FILE - 1) & (F.floor(key / PER_FILE) % 2 == 1)
+    second = pages.where(~F.coalesce(lost, F.lit(False))).select(
+        place, key.alias("key"), warc.record(key, F.col("url"), rotten, DATE).alias("record")
+    )
+    found = warc.audit(warc.leaves(whole), warc.leaves(second))
+    return found.select(F.col("key").alias("page_id"), "file", "offset", F.col("length").alias("n_bytes"), "state")
+
+
 @query
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and tokens of every text, and whether it passes 2,048 tokens."""
