@@ -414,8 +414,7 @@ def train_part_medians(spark, folder):
         "node", "target_timestamp", *signals
     )
     parts = split.chronological_split(materialize(rows, "signals"))
-    bound = tables.lineitem_rows(spark, folder)
-    return train_medians(parts.part(split.TRAIN), signals, bound)
+    return train_medians(parts.part(split.TRAIN), signals)
 
 
 @query
@@ -423,7 +422,6 @@ def persistence_metrics(spark, folder):
     rows = _parts(spark, folder).frame
     return metrics.regression_metrics(
         rows, "target", TEMPERATURE.column, TEMPERATURE.tolerances, ["split"],
-        at_most=tables.lineitem_rows(spark, folder),
     )
 
 
@@ -432,7 +430,6 @@ def persistence_metrics_by_node(spark, folder):
     rows = supervised(spark, folder, POWER, FEW_FEATURES).frame
     return metrics.regression_metrics(
         rows, "target", POWER.column, POWER.tolerances, ["node"],
-        at_most=tables.lineitem_rows(spark, folder),
     )
 
 
@@ -452,7 +449,7 @@ def test_predictions(spark, folder):
 def event_proxy(spark, folder):
     parts, predictions = _predictions(spark, folder)
     known = parts.part(split.TRAIN, split.VALIDATION)
-    threshold = metrics.event_threshold(known, at_most=tables.lineitem_rows(spark, folder))
+    threshold = metrics.event_threshold(known)
     result = metrics.event_proxy_metrics(predictions, threshold)
     cells = {
         name: F.get(F.get("confusion_matrix", F.lit(real)), F.lit(said))
@@ -486,7 +483,6 @@ def residual_histogram(spark, folder):
 
 def _comparison(spark, folder):
     """Persistence and recent means as forecasters, both tasks."""
-    bound = tables.lineitem_rows(spark, folder)
     parts = []
     for task in TASKS.values():
         rows = _parts(spark, folder, task).frame.where("split <> 'train'")
@@ -501,7 +497,7 @@ def _comparison(spark, folder):
         )
         long = rows.select("target", F.col("split").alias("partition"), entries)
         figures = metrics.regression_metrics(
-            long, "target", "predicted", task.tolerances, ["partition", "model"], bound
+            long, "target", "predicted", task.tolerances, ["partition", "model"]
         )
         parts.append(figures.withColumn("task", F.lit(task.key)))
     return compare.comparison_table(parts)
@@ -535,9 +531,7 @@ def _ridge(spark, folder):
     data, parts = _split_features(spark, folder)
     known = parts.part(split.TRAIN, split.VALIDATION)
     nodes = features.node_categories(parts.frame)
-    before = fit_preprocessor(
-        known, data.features, nodes, tables.lineitem_rows(spark, folder)
-    )
+    before = fit_preprocessor(known, data.features, nodes)
     return parts, known, before, fit_candidate(candidate_models()[0], known, before)
 
 
@@ -555,7 +549,7 @@ def importance_of_features(spark, folder):
 
 @query
 def model_comparison(spark, folder):
-    """All five candidates in their small sizes, selection, refit and test."""
+    """All five candidates in their published sizes, selection, refit and test."""
     data, parts = _split_features(spark, folder)
-    return select_and_test(data, parts, TEMPERATURE, profile="small").comparison
+    return select_and_test(data, parts, TEMPERATURE).comparison
 

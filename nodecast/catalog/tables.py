@@ -105,14 +105,3 @@ def event_telemetry(spark: SparkSession, folder: str) -> DataFrame:
             *by_type,
         )
     )
-
-
-def lineitem_rows(spark: SparkSession, folder: str) -> int:
-    """A proven bound on the rows of any table derived row by row from
-    lineitem; Parquet answers it from its footers."""
-    return table(spark, folder, "lineitem").count()
-
-
-def event_rows(spark: SparkSession, folder: str) -> int:
-    return table(spark, folder, "events").count()
-

@@ -181,10 +181,6 @@ PIECE_STEPS = 65_536
 # Longer lists of nodes are joined instead of being stated in a filter.
 NODE_LIST_LIMIT = 1_000
 
-# Up to this many values per group an exact percentile may be taken in the
-# memory of one task; beyond it operators/quantiles.py narrows in on it.
-IN_MEMORY_VALUES = 1_000_000
-
 
 def aligned_metrics() -> dict[str, tuple[str, str]]:
     """Output column -> (plugin, metric) for all metrics that get aligned."""

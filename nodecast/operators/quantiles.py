@@ -1,172 +1,120 @@
-"""Exact percentiles that do not need all values in one place.
-
-Spark's ``percentile`` is exact but keeps every distinct value of a group in
-the memory of one task.  That is fine for groups whose size is known to be
-small.  Larger groups are narrowed in on: count values in equal-width bins
-between the current bounds, keep the one bin that holds the wanted rank, and
-repeat with its smallest and largest value as bounds until they meet.  Each
-round is one aggregation whose output is bounded by groups x bins.
+"""Exact percentiles in two passes, whatever the size of a group.
+
+The first pass builds a mergeable quantile sketch of each group and reads off
+it, for each wanted percentile, two marks that lie surely below and above it.
+The second pass counts what lies below the marks, and each value between them;
+the wanted ranks are read from the running count.  Between the marks lie about
+``6 / ACCURACY`` of a group's values, and equal values are counted together, so
+no task holds a whole group.  Marks are values of the group itself, so neither
+the spread of the values nor infinite ones matter, and the number of passes is
+fixed.  Nothing but the answer reaches the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from nodecast.config import IN_MEMORY_VALUES
-from nodecast.session import materialize
-
-BINS = 1024
+ACCURACY = 10_000
+"""The sketch finds a value whose rank is wrong by at most 1 / ACCURACY of the group."""
 
 
 def exact_percentiles(
-    values: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probabilities: Sequence[float],
-    at_most: int | None = None,
-    in_memory: int = IN_MEMORY_VALUES,
-    weight: str | None = None,
+    values: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]
 ) -> DataFrame:
     """Linearly interpolated percentiles of ``value`` per group of ``keys``.
 
     Returns the keys, ``n`` (values that are there) and ``percentiles`` (array
-    in the order asked for).  ``at_most`` is a proven bound on the rows of any
-    group; without one the group sizes are counted first.  With ``weight`` a
-    row stands for that many equal values.
+    in the order asked for).  Missing values do not count; a group without any
+    is not listed.  Without keys there is one row, or none without values.
     """
-    times = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
-    values = values.select(
-        *keys, F.col(value).cast("double").alias("_v"), times.alias("_w")
-    ).dropna(subset=["_v"])
-    if at_most is None:
-        at_most = largest_group(values, keys)
-    if at_most <= in_memory:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        return values.groupBy(*keys).agg(
-            F.sum("_w").alias("n"), F.percentile("_v", wanted, F.col("_w")).alias("percentiles")
-        )
-    return _narrowed(values, list(keys), [float(p) for p in probabilities])
-
-
-def largest_group(values: DataFrame, keys: Sequence[str]) -> int:
-    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    keys = list(keys)
+    places = [(float(p), (F.col("n") - 1) * F.lit(float(p))) for p in probabilities]
+    marks = [(p, F.floor(at), F.ceil(at)) for p, at in places]
+    held = _at_ranks(values.select(*keys, F.col(value).cast("double").alias("_v")), keys, marks)
+    share = F.element_at(F.array(*(at for _, at in places)), F.col("_place") + 1) - F.col("_first")
+    between = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
+        F.col("low") + (F.col("high") - F.col("low")) * share
+    )
+    found = held.select(*keys, "n", "_place", between.alias("_found"))
+    ordered = F.sort_array(F.collect_list(F.struct("_place", "_found")))
+    gathered = found.groupBy(*keys, "n").agg(ordered.alias("_all"))
+    return gathered.select(*keys, "n", F.col("_all._found").alias("percentiles"))
 
 
-def exact_percentile(
-    values: DataFrame,
-    value: str,
-    probability: float,
-    at_most: int | None = None,
-    in_memory: int = IN_MEMORY_VALUES,
-) -> float | None:
+def exact_percentile(values: DataFrame, value: str, probability: float) -> float | None:
     """One percentile of one column, as a Python number."""
-    found = exact_percentiles(values, [], value, [probability], at_most, in_memory).first()
-    return found and found.percentiles and found.percentiles[0]
+    found = exact_percentiles(values, [], value, [probability]).first()
+    return found and found.percentiles[0]
 
 
-def values_at_ranks(
-    values: DataFrame,
-    value: str,
-    ranks: Sequence[int],
-    total: int,
-    in_memory: int = IN_MEMORY_VALUES,
-) -> list[float]:
+def values_at_ranks(values: DataFrame, value: str, ranks: Sequence[int], total: int) -> list[float]:
     """The values at 0-based places among the ``total`` sorted values."""
-    one = F.lit(1).cast("bigint")
-    values = values.select(F.col(value).cast("double").alias("_v"), one.alias("_w"))
-    if total <= in_memory:
-        ordered = values.orderBy("_v")
-        return [ordered.offset(rank).limit(1).first()._v for rank in ranks]
-    values = materialize(values, "values")
-    bounds = values.agg(F.min("_v").alias("low"), F.max("_v").alias("high"))
-    low, high = bounds.first()
-    whole = F.lit(0).cast("bigint")
-    schema = bounds.select("low", "high", whole.alias("below"), whole.alias("rank")).schema
-    wanted = [(low, high, 0, rank) for rank in ranks]
-    found = {row.rank: row.low for row in _meet(values, [], wanted, schema)}
-    return [found[rank] for rank in ranks]
-
-
-def _narrowed(values: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
-    values = materialize(values, "values")  # every round reads them again
-    sizes = values.groupBy(*keys).agg(
-        F.sum("_w").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
-    )
-    groups = [g for g in sizes.collect() if g.n]  # one short row per group
-    places = {n: [(n - 1) * p for p in probabilities] for n in {g.n for g in groups}}
-    wanted = {
-        (*(g[k] for k in keys), g.low, g.high, 0, rank)
-        for g in groups
-        for at in places[g.n]
-        for rank in (math.floor(at), math.ceil(at))
-    }
-    spark = values.sparkSession
-    brackets = sizes.select(
-        *keys, "low", "high", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("rank")
-    ).schema
-    held = {
-        (*(row[k] for k in keys), row.rank): row.low
-        for row in _meet(values, keys, list(wanted), brackets)
-    }
-
-    def interpolated(group, at: float) -> float:
-        name = tuple(group[k] for k in keys)
-        low, high = held[(*name, math.floor(at))], held[(*name, math.ceil(at))]
-        return low + (high - low) * (at - math.floor(at))
-
-    results = [
-        (*(g[k] for k in keys), g.n, [interpolated(g, at) for at in places[g.n]]) for g in groups
-    ]
-    schema = sizes.select(*keys, "n", F.array("low").alias("percentiles")).schema
-    return spark.createDataFrame(results, schema)
-
-
-def _meet(values: DataFrame, keys: list[str], open_rows: list, schema: StructType) -> list[Row]:
-    """Narrow every (group, rank) bracket until its bounds are equal.
-
-    The brackets on the driver are one short row per group and rank, never
-    data; the rows returned are the final ones.
-    """
-    open_rows, done = [Row(*schema.names)(*row) for row in open_rows], []
-    while True:
-        done += [row for row in open_rows if row.low == row.high]
-        open_rows = [row for row in open_rows if row.low != row.high]
-        if not open_rows:
-            return done
-        current = values.sparkSession.createDataFrame(open_rows, schema)
-        along = Window.partitionBy(*keys, "low", "high").orderBy("bin")
-        before = F.sum("held").over(along.rowsBetween(Window.unboundedPreceding, -1))
-        placed = _bins(values, keys, current).withColumn(
-            "start", F.coalesce(before, F.lit(0))
-        )
-        start = (F.col("below") + F.col("start")).cast("bigint")
-        narrower = (
-            current.join(placed, [*keys, "low", "high"])
-            .where((F.col("rank") >= start) & (F.col("rank") < start + F.col("held")))
-            .select(
-                *keys, F.col("lowest").alias("low"), F.col("highest").alias("high"),
-                start.alias("below"), "rank",
-            )
-        )
-        open_rows = narrower.select(*schema.names).collect()
+    marks = [(rank / max(total - 1, 1), F.lit(rank), F.lit(rank)) for rank in ranks]
+    held = _at_ranks(values.select(F.col(value).cast("double").alias("_v")), [], marks)
+    found = {row._place: row.low for row in held.collect()}  # one row a rank
+    return [found[place] for place in range(len(ranks))]
 
 
-def _bins(values: DataFrame, keys: list[str], brackets: DataFrame) -> DataFrame:
-    """Counts and bounds of the values in each bin of each bracket."""
-    spans = brackets.select(*keys, "low", "high").distinct()
+def _at_ranks(
+    values: DataFrame, keys: list[str], marks: Sequence[tuple[float, Column, Column]]
+) -> DataFrame:
+    """``keys, n, _place, _first, low, high``: for each mark (a share of the group and
+    two neighbouring ranks near it, which may depend on ``n``) the values at both."""
+    values = values.where("_v IS NOT NULL")
+    margin = 3 / ACCURACY
+    lows = [max(0.0, share - margin) for share, _, _ in marks]
+    highs = [min(1.0, share + margin) for share, _, _ in marks]
+    sketched = F.percentile_approx("_v", lows + highs, ACCURACY).alias("_marks")
+    sketches = values.groupBy(*keys).agg(F.count("_v").alias("n"), sketched).where("n > 0")
+    wanted = F.array(
+        *[
+            F.struct(
+                F.lit(place).alias("_place"),
+                F.get("_marks", F.lit(place)).alias("_from"),
+                F.get("_marks", F.lit(place + len(marks))).alias("_to"),
+                first.cast("bigint").alias("_first"),
+                second.cast("bigint").alias("_second"),
+            )
+            for place, (_, first, second) in enumerate(marks)
+        ]
+    )
+    brackets = sketches.select(*keys, "n", F.inline(wanted))
     if keys:
-        matched = values.join(spans, keys)
-    else:  # a handful of spans, stated as literals
-        literals = [F.struct(F.lit(s.low).alias("low"), F.lit(s.high).alias("high")) for s in spans.collect()]
-        matched = values.select("_v", "_w", F.inline(F.array(*literals)))
-    matched = matched.where(F.col("_v").between(F.col("low"), F.col("high")))
-    position = (F.col("_v") - F.col("low")) / (F.col("high") - F.col("low"))
-    chosen = F.least(F.floor(position * BINS), F.lit(BINS - 1))
-    return matched.groupBy(*keys, "low", "high", chosen.alias("bin")).agg(
-        F.sum("_w").alias("held"), F.min("_v").alias("lowest"), F.max("_v").alias("highest")
+        other = brackets.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+        placed = values.join(other, same).drop(*[f"_of_{k}" for k in keys])
+    else:
+        placed = _beside(values, brackets)
+    inside = F.col("_v").between(F.col("_from"), F.col("_to"))
+    side = F.when(inside, 0).when(F.col("_v") < F.col("_from"), -1).otherwise(1)
+    bracket = [*keys, "n", "_place", "_first", "_second"]
+    counted = placed.groupBy(*bracket, side.alias("_side"), F.when(inside, F.col("_v")).alias("_at")).agg(
+        F.count("_v").alias("_held"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
     )
+    along = Window.partitionBy(*bracket).orderBy("_side", "_at")
+    upto = F.sum("_held").over(along)
+    ranked = counted.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_held"))
+
+    def at(rank: str) -> Column:
+        """The value at a rank: one between the marks, or the nearest one beyond."""
+        here = (F.col(rank) >= F.col("_start")) & (F.col(rank) < F.col("_end"))
+        nearest = (
+            F.when(F.col("_side") == 0, F.col("_at"))
+            .when((F.col("_side") < 0) & (F.col(rank) == F.col("_end") - 1), F.col("_most"))
+            .when((F.col("_side") > 0) & (F.col(rank) == F.col("_start")), F.col("_least"))
+            .otherwise(F.raise_error(F.lit("a rank lies beyond its marks")).cast("double"))
+        )
+        return F.max(F.when(here, nearest))
+
+    return ranked.groupBy(*bracket).agg(at("_first").alias("low"), at("_second").alias("high"))
+
+
+def _beside(values: DataFrame, brackets: DataFrame) -> DataFrame:
+    """The brackets of the only group beside each value, as literals."""
+    rows = brackets.collect()  # one row a mark
+    if not rows:
+        return values.limit(0).select("_v", *[F.lit(None).cast(f.dataType).alias(f.name) for f in brackets.schema])
+    stated = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(brackets.schema, r)]) for r in rows]
+    return values.select("_v", F.inline(F.array(*stated)))

@@ -7,7 +7,6 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
-from nodecast.config import IN_MEMORY_VALUES
 from nodecast.functions.timeline import moment
 from nodecast.operators.quantiles import values_at_ranks
 from nodecast.session import materialize
@@ -50,7 +49,6 @@ def split_boundaries(
     rows: DataFrame,
     train_ratio: float = 0.70,
     validation_ratio: float = 0.15,
-    in_memory: int = IN_MEMORY_VALUES,
 ) -> tuple[datetime, datetime]:
     """Last target time of the train and of the validation part.
 
@@ -61,7 +59,7 @@ def split_boundaries(
     times = materialize(times, "target-times")  # the rows themselves are read once
     total = times.count()
     places = boundary_positions(total, train_ratio, validation_ratio)
-    found = values_at_ranks(times, "at", places, total, in_memory)
+    found = values_at_ranks(times, "at", places, total)
     epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
     train_end, validation_end = (epoch + timedelta(microseconds=int(at)) for at in found)
     return train_end, validation_end
@@ -81,9 +79,8 @@ def chronological_split(
     rows: DataFrame,
     train_ratio: float = 0.70,
     validation_ratio: float = 0.15,
-    in_memory: int = IN_MEMORY_VALUES,
 ) -> ChronologicalSplit:
-    ends = split_boundaries(rows, train_ratio, validation_ratio, in_memory)
+    ends = split_boundaries(rows, train_ratio, validation_ratio)
     return ChronologicalSplit(label_parts(rows, *ends), *ends)
 
 

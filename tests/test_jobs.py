@@ -99,7 +99,7 @@ def trained(spark, prepared, tmp_path_factory):
     out, _ = prepared
     models, reports = (str(tmp_path_factory.mktemp(n)) for n in ("models", "reports"))
     results = train(
-        spark, f"{out}/telemetry.parquet", models, reports, profile="small",
+        spark, f"{out}/telemetry.parquet", models, reports, sizes={"random_forest": {"numTrees": 8}},
         candidates=["ridge", "random_forest"],
     )
     return f"{out}/telemetry.parquet", models, reports, results

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nodecast.functions.timeline import as_utc, floor_moment, floor_to, step_micros
-from nodecast.operators import align, compare, coverage, metrics, quality
+from nodecast.operators import align, compare, coverage, metrics, quality, quantiles
 from nodecast.operators.features import build_supervised
 from nodecast.operators.quantiles import exact_percentile, exact_percentiles, values_at_ranks
 from nodecast.operators.split import (
@@ -61,11 +61,10 @@ def numbers(spark):
     return rows, spark.createDataFrame(rows, "g string, v double").cache()
 
 
-@pytest.mark.parametrize("in_memory", [0, 10**6])
-def test_percentiles_by_group(numbers, in_memory):
+def test_percentiles_by_group(numbers):
     rows, frame = numbers
     chosen = [0.0, 0.1, 0.5, 0.9, 1.0]
-    found = exact_percentiles(frame, ["g"], "v", chosen, in_memory=in_memory)
+    found = exact_percentiles(frame, ["g"], "v", chosen)
     got = {r.g: (r.n, r.percentiles) for r in found.collect()}
     for group in ("wide", "few", "one", "same"):
         values = [v for g, v in rows if g == group and v is not None]
@@ -74,27 +73,35 @@ def test_percentiles_by_group(numbers, in_memory):
     assert "none" not in got
 
 
-@pytest.mark.parametrize("in_memory", [0, 10**6])
-def test_percentile_of_all_and_ranks(numbers, in_memory):
+def test_percentile_of_all_and_ranks(numbers):
     rows, frame = numbers
     values = sorted(v for _, v in rows if v is not None)
-    assert exact_percentile(frame, "v", 0.5, in_memory=in_memory) == pytest.approx(
+    assert exact_percentile(frame, "v", 0.5) == pytest.approx(
         statistics.median(values)
     )
     places = [0, 17, 2500, len(values) - 1]
-    got = values_at_ranks(frame.dropna(), "v", places, len(values), in_memory)
+    got = values_at_ranks(frame.dropna(), "v", places, len(values))
     assert got == [values[p] for p in places]
 
 
-@pytest.mark.parametrize("in_memory", [0, 10**6])
-def test_weighted_percentiles(numbers, in_memory):
-    _, frame = numbers
-    counted = frame.groupBy("g", "v").agg(F.count(F.lit(1)).alias("times"))
-    plain = exact_percentiles(frame, ["g"], "v", [0.3, 0.5])
-    heavy = exact_percentiles(counted, ["g"], "v", [0.3, 0.5], None, in_memory, "times")
-    assert {r.g: (r.n, r.percentiles) for r in heavy.collect()} == {
-        r.g: (r.n, pytest.approx(r.percentiles)) for r in plain.collect()
-    }
+def test_percentiles_of_uneven_values(spark, monkeypatch):
+    """Infinite values, a wide lognormal spread, one large group and a coarse sketch."""
+    monkeypatch.setattr(quantiles, "ACCURACY", 50)
+    chance = random.Random(5)
+    rows = [("hot", chance.lognormvariate(0, 20)) for _ in range(20000)]
+    rows += [("hot", math.inf), ("hot", -math.inf), (None, 3.0), (None, 5.0)]
+    rows += [("ties", float(chance.choice([1, 1, 1, 1, 9]))) for _ in range(5000)]
+    rows += [(f"g{i % 40}", chance.gauss(0, 1)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "g string, v double")
+    chosen = [0.0, 0.25, 0.5, 0.9, 1.0]
+    found = {r.g: r.percentiles for r in exact_percentiles(frame, ["g"], "v", chosen).collect()}
+    for group in {g for g, _ in rows}:
+        values = sorted(v for g, v in rows if g == group)
+        for p, got in zip(chosen, found[group]):
+            at = (len(values) - 1) * p
+            low, high = values[math.floor(at)], values[math.ceil(at)]
+            assert got == (low if low == high else pytest.approx(low + (high - low) * (at - math.floor(at))))
+    assert exact_percentile(frame, "v", 1.0) == math.inf
 
 
 def test_percentile_of_nothing(spark):
@@ -224,7 +231,7 @@ def test_split_of_the_fixture(telemetry):
         "train": 34, "validation": 8, "test": 8,
     }
     assert after_boundary(frame, parts.validation_end).count() == 8
-    assert split_boundaries(frame, in_memory=0) == (parts.train_end, parts.validation_end)
+    assert split_boundaries(frame) == (parts.train_end, parts.validation_end)
 
 
 def test_published_positions():
@@ -249,10 +256,9 @@ def pairs(spark, actual, predicted):
     )
 
 
-@pytest.mark.parametrize("in_memory", [0, 10**6])
-def test_regression_metrics(spark, in_memory):
+def test_regression_metrics(spark):
     row = metrics.regression_metrics(
-        pairs(spark, [1, 2, 3], [1, 3, 2]), tolerances=[1.0, 2.5], in_memory=in_memory
+        pairs(spark, [1, 2, 3], [1, 3, 2]), tolerances=[1.0, 2.5]
     ).first()
     assert row.mae == pytest.approx(2 / 3) and row.rmse == pytest.approx(math.sqrt(2 / 3))
     assert row.r2 == pytest.approx(0.0) and row.median_absolute_error == 1.0
@@ -271,7 +277,7 @@ def test_missing_predictions_are_an_error(spark):
 
 def test_grouped_metrics_agree_with_each_group(spark, telemetry):
     frame = build_supervised(telemetry, "total_power").frame
-    both = metrics.regression_metrics(frame, "target", "total_power", [10.0], ["node"], in_memory=0)
+    both = metrics.regression_metrics(frame, "target", "total_power", [10.0], ["node"])
     for row in both.collect():
         one = metrics.regression_metrics(
             frame.where(F.col("node") == row.node), "target", "total_power", [10.0]
