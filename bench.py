@@ -18,7 +18,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from nodecast.catalog.queries import QUERIES
-from nodecast.session import local_session
+from nodecast.session import local_session, release
 
 HEADLINE = (
     "node_coverage_topn", "bucket_mean", "metric_full_outer_join", "metric_conditional_wide",
@@ -34,7 +34,9 @@ HEADLINE = (
 def run(spark, folder: str, name: str) -> float:
     started = time.perf_counter()
     QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - started
+    taken = time.perf_counter() - started
+    release(spark)
+    return taken
 
 
 def main() -> None:

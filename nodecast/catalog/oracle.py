@@ -239,8 +239,8 @@ FROM readings WHERE metric = 'click' GROUP BY node, date_trunc('hour', ts)""",
         "complete_grid_left_join": with_(
             DAILY,
             """grid AS (
-  SELECT node, ts FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS node FROM events),
-    range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) AS r(ts))""",
+  SELECT node, unnest(days) AS ts FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS node FROM events),
+    (SELECT generate_series(date_trunc('day', min(ts)), max(ts), INTERVAL 1 DAY) AS days FROM events))""",
         )
         + f"""SELECT grid.node, {text('grid.ts')}, {listed(near(m) for m in EVENT_METRICS)}
 FROM grid LEFT JOIN daily ON grid.node = daily.node AND grid.ts = daily.ts""",
@@ -257,9 +257,9 @@ FROM wide WHERE cpu_temp_max IS NOT NULL AND node IN (SELECT node FROM chosen)""
             prepared,
             *TELEMETRY,
             """grid AS (
-  SELECT node, ts FROM chosen, range(
-    time_bucket(INTERVAL 7 DAY, TIMESTAMP '1995-01-01', TIMESTAMP '1970-01-01'),
-    TIMESTAMP '2002-01-01', INTERVAL 7 DAY) AS r(ts))""",
+  SELECT node, unnest(weeks) AS ts FROM chosen, (SELECT generate_series(
+    time_bucket(INTERVAL 7 DAY, min(CAST(l_shipdate AS TIMESTAMP)), TIMESTAMP '1970-01-01'),
+    max(CAST(l_shipdate AS TIMESTAMP)), INTERVAL 7 DAY) AS weeks FROM lineitem))""",
         )
         + f"""SELECT grid.node, {text('grid.ts')}, {listed(near(c) for c in SIGNALS)},
   CAST(hour(grid.ts) AS BIGINT) AS hour_utc,
@@ -447,6 +447,14 @@ cells AS (
   {near('coalesce(2 * true_positive / nullif(2 * true_positive + false_positive + false_negative, 0), 0)', 'f1')},
   {near('(true_positive + true_negative) / n', 'accuracy')},
   true_positive + false_negative AS positive_rows FROM cells""",
+        "ridge_two_signals": with_(*_split_rows(), RIDGE)
+        + f"""SELECT 'cpu_temp_max' AS feature, {near('round(w1, 4)', 'weight')} FROM solved
+UNION ALL SELECT 'cpu_temp_max_roll_mean_10', {near('round(w2, 4)', 'weight')} FROM solved
+UNION ALL SELECT 'intercept', {near('round(my - w1 * m1 / s1 - w2 * m2 / s2, 4)', 'weight')} FROM solved""",
+        "ridge_two_signals_forecast": with_(*_split_rows(), RIDGE)
+        + f"""SELECT node, {text('target_ts', 'target_timestamp')}, {near('target', 'actual')},
+  {near('round(my + w1 * (cpu_temp_max - m1) / s1 + w2 * (cpu_temp_max_roll_mean_10 - m2) / s2, 4)', 'predicted')}
+FROM labelled, solved WHERE split = 'test'""",
         "representative_node": with_(*_predictions(), REPRESENTATIVE)
         + f"SELECT node, {near('variance')} FROM chosen",
         "representative_series": with_(*_predictions(), REPRESENTATIVE)
@@ -467,6 +475,19 @@ FROM range(1, 36) AS b(bin) CROSS JOIN edges LEFT JOIN counted c ON c.bin = b.bi
     }
 
 
+# least squares with penalty 100 on two inputs in population deviations: a 2 x 2 system
+RIDGE = """moments AS (
+  SELECT count(*) AS n, avg(cpu_temp_max) AS m1, avg(cpu_temp_max_roll_mean_10) AS m2, avg(target) AS my,
+    stddev_pop(cpu_temp_max) AS s1, stddev_pop(cpu_temp_max_roll_mean_10) AS s2,
+    corr(cpu_temp_max, cpu_temp_max_roll_mean_10) AS r,
+    covar_pop(cpu_temp_max, target) / stddev_pop(cpu_temp_max) AS c1,
+    covar_pop(cpu_temp_max_roll_mean_10, target) / stddev_pop(cpu_temp_max_roll_mean_10) AS c2
+  FROM labelled WHERE split <> 'test'),
+solved AS (
+  SELECT *, ((n + 100) * n * c1 - n * r * n * c2) / ((n + 100) * (n + 100) - n * r * n * r) AS w1,
+    ((n + 100) * n * c2 - n * r * n * c1) / ((n + 100) * (n + 100) - n * r * n * r) AS w2
+  FROM moments)"""
+
 REPRESENTATIVE = """chosen AS (
   SELECT node, var_samp(actual) AS variance FROM predictions GROUP BY node
   ORDER BY variance DESC NULLS LAST, node LIMIT 1)"""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.pipeline import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -19,16 +21,28 @@ from nodecast.config import (
     TREND_SIGNALS,
     FeaturePlan,
 )
-from nodecast.functions.timeline import calendar_parts, minute_cycle
-from nodecast.models.candidates import LABEL, candidate_models, fit_candidate
+from nodecast.functions.timeline import calendar_parts, floor_moment, minute_cycle, step_micros
+from nodecast.models.candidates import (
+    LABEL,
+    candidate_models,
+    fit_candidate,
+    fit_learner,
+    label_facts,
+)
 from nodecast.models.importance import feature_importance
-from nodecast.models.preprocess import assembled, fit_preprocessor, node_encoder, train_medians
+from nodecast.models.preprocess import (
+    VECTOR,
+    assembled,
+    fit_preprocessor,
+    node_encoder,
+    train_medians,
+)
 from nodecast.operators import align, compare, coverage, features, metrics, quality, split
 from nodecast.operators.series import add_series_columns
 from nodecast.plans.predict import forecast_output
 from nodecast.plans.prepare import wide_table
 from nodecast.plans.train import select_and_test
-from nodecast.session import materialize, use_utc
+from nodecast.session import materialize, shared_folder, use_utc
 from nodecast.sources.readings import between, on_nodes
 from nodecast.sources.telemetry import key_problems
 
@@ -46,8 +60,14 @@ QUERIES: dict[str, Query] = {}
 TEMPERATURE = TASKS["temperature"]
 POWER = TASKS["power"]
 BASELINES = ("persistence", "mean_3", "mean_5", "mean_10")
-PERIOD = ("1995-01-01", "2002-01-01")  # all of lineitem
-EVENT_PERIOD = ("2024-01-01", "2024-01-31")  # all of events
+
+
+def whole_period(readings: DataFrame) -> tuple[datetime, datetime]:
+    """The first moment of the readings, and the one after the last."""
+    at = F.unix_micros("timestamp")
+    first, last = readings.agg(F.min(at), F.max(at)).first()
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return epoch + timedelta(microseconds=first), epoch + timedelta(microseconds=last + 1)
 
 
 def query(build: Query) -> Query:
@@ -144,7 +164,9 @@ def complete_grid_left_join(spark, folder):
     readings = tables.event_readings(spark, folder)
     daily = align.align_metrics(readings, {m: ("app", m) for m in EVENT_METRICS}, EVENT_STEP)
     nodes = readings.select("node").distinct()
-    return align.add_complete_time_grid(daily, nodes, *EVENT_PERIOD, EVENT_STEP)
+    start, end = whole_period(readings)
+    first = floor_moment(start, step_micros(EVENT_STEP))
+    return align.add_complete_time_grid(daily, nodes, first, end, EVENT_STEP)
 
 
 @query
@@ -160,7 +182,7 @@ def derived_sums(spark, folder):
 def prepared_telemetry(spark, folder):
     readings = tables.lineitem_readings(spark, folder)
     chosen = coverage.best_covered(coverage.coverage_table(readings), 12).select("node")
-    start, end = PERIOD
+    start, end = whole_period(readings)
     return wide_table(on_nodes(readings, chosen), start, end, WEEK)
 
 
@@ -169,7 +191,7 @@ def prepared_with_empty_steps(spark, folder):
     """The same with a row for every week, also those without readings."""
     readings = tables.lineitem_readings(spark, folder)
     chosen = coverage.best_covered(coverage.coverage_table(readings), 12).select("node")
-    start, end = PERIOD
+    start, end = whole_period(readings)
     return wide_table(on_nodes(readings, chosen), start, end, WEEK, chosen)
 
 
@@ -362,15 +384,17 @@ def forecast_rows(spark, folder):
 
 @query
 def one_hot_nodes(spark, folder):
-    """The slot of each node in the one-hot vector, and the vector's size."""
+    """The slot of each node in the one-hot vector, and the vector's size.
+
+    The vector stays sparse: its only slot is read as a number."""
     rows = tables.telemetry(spark, folder).select("node").distinct()
-    slots = vector_to_array(F.col("_node_slots"))
-    encoded = PipelineModel(node_encoder(rows, features.node_categories(rows))).transform(rows)
+    nodes = features.node_categories(rows)
+    encoded = PipelineModel(node_encoder(rows, nodes)).transform(rows)
     return encoded.select(
         "node",
-        (F.array_position(slots, F.lit(1.0)) - 1).alias("slot"),
-        F.size(slots).alias("width"),
-        F.aggregate(slots, F.lit(0.0), lambda a, b: a + b).alias("ones"),
+        F.col("_node_index").cast("bigint").alias("slot"),
+        F.lit(len(nodes)).cast("bigint").alias("width"),
+        F.when(F.col("_node_index") < len(nodes), 1.0).otherwise(0.0).alias("ones"),
     )
 
 
@@ -535,6 +559,37 @@ def _ridge(spark, folder):
     return parts, known, before, fit_candidate(candidate_models()[0], known, before)
 
 
+def _two_signal_ridge(spark, folder):
+    """Ridge on the current value and the ten-row mean, a closed form in SQL.
+
+    The model is saved and loaded before it is used."""
+    inputs = [TEMPERATURE.column, f"{TEMPERATURE.column}_roll_mean_10"]
+    parts = _parts(spark, folder)
+    assemble = VectorAssembler(inputCols=inputs, outputCol=VECTOR)
+    vectors = assemble.transform(parts.part(split.TRAIN, split.VALIDATION))
+    fitted = fit_learner(candidate_models()[0], vectors, label_facts(vectors, len(inputs)))
+    path = f"{shared_folder(spark)}/two-signal-ridge-{uuid.uuid4().hex}"
+    PipelineModel([assemble, *fitted]).write().save(path)
+    return parts, vectors, inputs, PipelineModel.load(path)
+
+
+@query
+def ridge_two_signals(spark, folder):
+    """The weight of each input per population deviation, and the intercept."""
+    _, vectors, inputs, model = _two_signal_ridge(spark, folder)
+    weights = feature_importance(model, inputs, vectors).select("feature", F.round("importance", 4).alias("weight"))
+    start = [("intercept", float(model.stages[-1].intercept))]
+    intercept = spark.createDataFrame(start, "feature string, weight double")
+    return weights.unionAll(intercept.select("feature", F.round("weight", 4).alias("weight")))
+
+
+@query
+def ridge_two_signals_forecast(spark, folder):
+    parts, _, _, model = _two_signal_ridge(spark, folder)
+    table = metrics.prediction_table(model.transform(parts.part(split.TEST)), TEMPERATURE.column)
+    return table.select("node", "target_timestamp", "actual", F.round("predicted", 4).alias("predicted"))
+
+
 @query
 def ridge_forecast(spark, folder):
     parts, _, _, model = _ridge(spark, folder)

@@ -11,8 +11,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F, types as T
 
 
+def quoted(text: str) -> str:
+    """A text as an SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted_name(name: str) -> str:
+    """A column name as SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _joined(template: str, names: Sequence[str], by: str) -> str:
-    return "(" + by.join(template.format(f"`{name}`") for name in names) + ")"
+    return "(" + by.join(template.format(quoted_name(name)) for name in names) + ")"
 
 
 def present_count(names: Sequence[str]) -> Column:

@@ -15,7 +15,14 @@ from nodecast.config import (
     DERIVED_SUMS,
     aligned_metrics,
 )
-from nodecast.functions.rowwise import present_count, present_max, present_mean, present_sum
+from nodecast.functions.rowwise import (
+    present_count,
+    present_max,
+    present_mean,
+    present_sum,
+    quoted,
+    quoted_name,
+)
 from nodecast.functions.timeline import as_utc, calendar_parts, floor_to, moment, step_micros
 from nodecast.operators.series import named_sql
 
@@ -45,14 +52,20 @@ def aggregate_metric(
 
 
 def merge_metric_frames(frames: Sequence[DataFrame]) -> DataFrame:
-    """Full outer join of per-metric tables on (node, timestamp).
+    """Per-metric tables, each with one row per (node, timestamp), side by side.
 
-    For metrics that come from one set of readings ``align_metrics`` gives the
-    same rows from a single shuffle; this form is for tables made elsewhere.
+    The rows of a full outer join over all of them, from one shuffle: the tables
+    are stacked and grouped once.  Empty tables give columns of NULLs; it is an
+    error if all are empty.  For metrics that come from one set of readings
+    ``align_metrics`` gives the same rows; this form is for tables made elsewhere.
     """
-    if not frames:
+    if not frames or all(frame.isEmpty() for frame in frames):
         raise ValueError("there is nothing to merge")
-    return reduce(lambda left, right: left.join(right, ["node", "timestamp"], "full"), frames)
+    stacked = reduce(lambda top, rows: top.unionByName(rows, allowMissingColumns=True), frames)
+    values = [c for c in stacked.columns if c not in ("node", "timestamp")]
+    return stacked.groupBy("node", "timestamp").agg(
+        *[F.first(quoted_name(c), ignorenulls=True).alias(c) for c in values]
+    )
 
 
 def align_metrics(
@@ -71,7 +84,8 @@ def align_metrics(
     start = floor_to(F.col("timestamp"), step_micros(step)).alias("timestamp")
     function = _sql_function(aggregation)
     aggregates = {
-        column: f"{function}(value) FILTER (WHERE plugin = '{plugin}' AND metric = '{metric}')"
+        column: f"{function}(value) FILTER "
+        f"(WHERE plugin = {quoted(plugin)} AND metric = {quoted(metric)})"
         for column, (plugin, metric) in columns.items()
     }
     wanted = reduce(

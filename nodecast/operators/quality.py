@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from nodecast.config import DEFAULT_STEP, PIECE_STEPS
-from nodecast.functions.rowwise import is_number
+from nodecast.functions.rowwise import is_number, quoted, quoted_name
 from nodecast.functions.timeline import iso_text, seconds_between
 from nodecast.operators.quantiles import exact_percentiles
 from nodecast.operators.series import add_series_columns, named_sql
@@ -116,13 +116,14 @@ def _profile(table: DataFrame, columns: tuple[str, ...], numeric: set[str]) -> D
     """A wide single-row aggregate, turned into one row per column."""
     figures, entries = {}, []
     for place, column in enumerate(columns):
+        held = quoted_name(column)
         taken = {
-            "missing_percent": f"round(100 * avg(double(`{column}` IS NULL)), 3)",
-            "minimum": f"min(double(`{column}`))",
-            "maximum": f"max(double(`{column}`))",
-            "mean": f"avg(double(`{column}`))",
+            "missing_percent": f"round(100 * avg(double({held} IS NULL)), 3)",
+            "minimum": f"min(double({held}))",
+            "maximum": f"max(double({held}))",
+            "mean": f"avg(double({held}))",
         }
-        parts = [f"'{column}' AS `column`"]
+        parts = [f"{quoted(column)} AS `column`"]
         for name, sql in taken.items():
             if name == "missing_percent" or column in numeric:
                 figures[f"{name}_{place}"] = sql

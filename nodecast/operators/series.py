@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from nodecast.config import DEFAULT_STEP, PIECE_STEPS
+from nodecast.functions.rowwise import quoted_name
 from nodecast.functions.timeline import floor_to, step_micros
 
 PIECE, BORROWED = "_piece", "_borrowed"
@@ -69,7 +70,7 @@ def add_series_columns(
 
 
 def named_sql(columns: dict[str, str]) -> list[str]:
-    return [f"{sql} AS `{name}`" for name, sql in columns.items()]
+    return [f"{sql} AS {quoted_name(name)}" for name, sql in columns.items()]
 
 
 def series_pieces(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -47,18 +49,31 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="nodecast-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/nodecast-{spark.sparkContext.applicationId}"
+
+
 def materialize(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Used where several jobs read one expensive result.  Unlike a cache it
     survives lost executors, and unlike ``checkpoint()`` it stays columnar, so
-    each reader still fetches only its columns.
+    each reader still fetches only its columns.  All tables of an application
+    lie in one folder, which ``release`` removes.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/nodecast/{uuid.uuid4().hex}/{name}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application.  To be called when
+    no DataFrame that was built on them will be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

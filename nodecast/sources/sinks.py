@@ -12,9 +12,10 @@ from nodecast.config import COLUMN_NOTES
 
 
 def write_parquet(table: DataFrame, path: str, sort: tuple[str, ...] = ()) -> None:
-    """Snappy Parquet; sorting inside each file keeps its row groups prunable."""
+    """Snappy Parquet.  With ``sort`` the files follow each other in that order
+    and are sorted inside, so that readers skip files as well as row groups."""
     if sort:
-        table = table.sortWithinPartitions(*sort)
+        table = table.orderBy(*sort)
     table.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
@@ -23,7 +24,7 @@ def write_csv(
 ) -> None:
     """A folder of CSV files with a header; timestamps are ISO text in UTC."""
     if sort:
-        table = table.sortWithinPartitions(*sort)
+        table = table.orderBy(*sort)
     writer = table.write.mode("overwrite").option("header", True)
     writer = writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]xxx")
     writer.option("compression", "gzip" if gzip else "none").csv(path)
