@@ -12,8 +12,9 @@ result is the expected severity, the sum of P(grade >= k), and the probability
 of any toxicity.  A text is toxic if that reaches one half.
 
 The model is fitted on at most ``SAMPLE`` labelled rows of each class (those
-with the smallest hash of their id), a documented bound; every row is scored on
-its whole text.  Without labels of both classes nothing is toxic.
+with the smallest hash of their id), a documented bound, and on one of several
+near copies (texts that share their ``COPIES`` least word hashes); every row is
+scored on its whole text.  Without labels of both classes nothing is toxic.
 
 Null and empty texts hold no feature.  Repeated rows give repeated rows; of
 several labels of one id the highest counts; labels with nulls are skipped.
@@ -34,7 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 from nodecast.llm.tasks import small_batches
 
 SAMPLE, FEATURES = 3000, 1000
-GRADES, CHI2, TIMES = 3, 30.0, 5.0
+GRADES, CHI2, TIMES = 3, 30.0, 20.0
+COPIES = 3
 HEADS = (4, 5, 6, 7, 8)
 """Lengths of the word beginnings used as features."""
 WORD = re.compile(r"[^\W\d_]+")
@@ -89,12 +91,20 @@ def _sample(documents: DataFrame, labels: DataFrame, key: str, text: str) -> Dat
     toxic = rated.where("toxic > 0").orderBy(*order).limit(SAMPLE)
     clean = rated.where("toxic = 0").orderBy(*order).limit(SAMPLE)
     chosen = F.broadcast(toxic.unionAll(clean))  # at most 2 * SAMPLE rows
-    return documents.select(key, text).join(chosen, key)
+    rows = documents.select(key, F.coalesce(text, F.lit("")).alias("text")).join(chosen, key)
+    # near copies share their least word hashes: one of them is enough
+    words = F.split(F.lower("text"), r"\s+")
+    least = [
+        F.array_min(F.transform(words, lambda w, i=i: F.xxhash64(w, F.lit(i)))).alias(f"m{i}")
+        for i in range(COPIES)
+    ]
+    grouped = rows.select(key, "toxic", "text", *least).groupBy("toxic", *(f"m{i}" for i in range(COPIES)))
+    return grouped.agg(F.min(F.struct(key, "text")).alias("r")).select(f"r.{key}", "toxic", "r.text")
 
 
 def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model | None:
     spark = small_batches(documents.sparkSession)
-    sample = _sample(documents, labels, key, text).select(key, "toxic", F.col(text).alias("text"))
+    sample = _sample(documents, labels, key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,7 +161,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     return Model(dict(zip(names, weights.tolist())), thresholds.tolist())
 
 
-def ordinal(x: np.ndarray, grade: np.ndarray, grades: int, rounds: int = 600, ridge: float = 1e-4):
+def ordinal(x: np.ndarray, grade: np.ndarray, grades: int, rounds: int = 1500, ridge: float = 1e-5):
     """Weights and ordered thresholds by Adam on the penalised likelihood.
     Thresholds are a first value and positive steps, so they stay ordered."""
     n, width = x.shape

@@ -1,5 +1,7 @@
 """Toxicity: held-out accuracy, the fit against its likelihood, odd rows."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -33,14 +35,18 @@ def test_ordinal_fit_orders_thresholds_and_grades():
 
 
 def test_rows_nulls_repeats_and_clashing_names(spark):
-    texts = [("kind words of the day", 0), ("you vile fool", 1), ("vile fool here and there", 1), ("calm and nice", 0)]
-    rows = [(i, *texts[i % 4]) for i in range(200)]
-    extra = [(900, None, None), (901, "", None), (902, "vile fool " * 20000, None), (1, texts[1][0], None)]
+    rnd = random.Random(6)
+    filler = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    rows = []
+    for i in range(400):
+        words = rnd.sample(filler, 25) + (["vile", "fool"] if i % 4 == 1 else [])
+        rows.append((i, " ".join(rnd.sample(words, len(words))), i % 4 == 1))
+    extra = [(900, None, None), (901, "", None), (902, "vile fool " * 20000, None), (1, rows[1][1], None)]
     frame = spark.createDataFrame([(i, t, "x") for i, t, _ in rows + extra], "doc_id long, text string, toxic string")
     labels = [(i, int(x)) for i, _, x in rows] + [(5, None), (None, 1), (1, 0)]
     rated = spark.createDataFrame(labels, "doc_id long, toxic int").withColumn("text", F.lit("vile"))
     found = toxicity.toxicity(frame, rated).collect()
-    assert len(found) == 204
+    assert len(found) == 404
     by_id = {r.doc_id: r for r in found}
     assert all(by_id[i].toxic == bool(x) for i, _, x in rows)
     assert not by_id[900].toxic and not by_id[901].toxic and by_id[902].toxic
