@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from nodecast.llm.tasks import small_batches
+from nodecast.llm.tasks import hashed_sample, small_batches
 
 SAMPLE, LONGEST, ROUNDS = 300, 200_000, 12
 
@@ -286,8 +286,8 @@ def extract(frame: DataFrame, key: str = "page_id", url: str = "url", html: str
     """``key, url, text, n_chars`` per row."""
     spark = small_batches(frame.sparkSession)
     short = frame.where((F.length(html) <= LONGEST) & (F.length(html) > 0))
-    order = F.xxhash64(url, key)
-    sample = short.select(order.alias("mark"), F.col(html).alias("html")).orderBy("mark", "html").limit(SAMPLE)
+    offered = short.select(key, url, F.col(html).alias("html"))
+    sample = hashed_sample(offered, F.xxhash64(url, key), frame.count(), SAMPLE)
     shared = spark.sparkContext.broadcast(fit([r.html for r in sample.collect()]))  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROWS_PER_BATCH = 512
 """Rows handed to a Python worker at once: texts can be long."""
@@ -35,3 +35,13 @@ def text_groups(
             size += len(text)
     if keys:
         yield keys, texts
+
+
+def hashed_sample(frame: DataFrame, mark: Column, rows: int, size: int) -> DataFrame:
+    """About ``size`` of the ``rows`` rows (never more), those with the smallest
+    hash.  Rows beyond a hash that leaves a few spare are dropped where they are
+    read, so that not every task offers a whole sample of its own."""
+    share = min(1.0, (1.1 * size + 100) / max(rows, 1))
+    low = F.pmod(mark, F.lit(1 << 30)) < int(share * (1 << 30))
+    kept = frame.withColumn("_mark", mark).where(low if share < 1 else F.lit(True))
+    return kept.orderBy(F.pmod("_mark", F.lit(1 << 30)), "_mark").limit(size).drop("_mark")
