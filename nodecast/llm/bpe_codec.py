@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from nodecast.llm.tasks import small_batches, text_groups
 from nodecast.llm.wordbpe import Batch, WordBpe, gather
 
-CHARACTERS = 16_000_000
+CHARACTERS = 5_000_000
 
 
 def encode_texts(bpe: WordBpe, texts: list[str]) -> list[np.ndarray]:

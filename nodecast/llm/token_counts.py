@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from nodecast.llm.tasks import small_batches, text_groups
 from nodecast.llm.wordbpe import Batch, WordBpe, byte_letters
 
-CHARACTERS = 16_000_000
+CHARACTERS = 5_000_000
 
 
 def proven(bpe: WordBpe) -> frozenset[str]:
