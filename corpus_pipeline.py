@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept,
 and calls one operator of ``nodecast.llm``.  All but the last return the columns
-of ``documents``.
+of ``documents``.  A stage numbers its rows and rejects by that number, so that
+rows that share an id, or have none, are each judged by their own text.
 """
 
 from __future__ import annotations
@@ -25,36 +26,49 @@ from nodecast.session import materialize
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id is not in ``rejected``; those without an id stay.
-    The ids are written first, so that Spark knows their size when it chooses
-    how to join."""
-    ids = materialize(rejected.select("doc_id").distinct(), "rejected")
-    return docs.join(ids, "doc_id", "left_anti").select(*COLUMNS)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number ``_row`` of each row, written so that it stays."""
+    return materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "numbered")
+
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The documents whose number is not in ``rejected``.  The numbers are
+    written first, so that Spark knows their size when it chooses how to join."""
+    numbers = materialize(rejected.select("_row"), "rejected")
+    return rows.join(numbers, "_row", "left_anti").select(*COLUMNS)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
-    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scored.where("toxic"))
+    rows = _numbered(docs)
+    model = toxicity.fit(rows, table(spark, sf_dir, "labels"))  # labels know documents by their id
+    return _without(rows, toxicity.score(rows, model, key="_row").where("toxic"))
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is certain enough."""
-    found = language.identify(docs, "lang", LEVEL, declared="lang", address="source")
-    return _without(docs, found.where("NOT kept"))
+    rows = _numbered(docs)
+    found = language.identify(rows, "lang", LEVEL, key="_row", declared="lang", address="source")
+    return _without(rows, found.where("NOT kept"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates."""
-    groups = simhash.near_duplicates(docs, SHINGLE, MAX_BITS)
-    return _without(docs, groups.where("doc_id != component_id"))
+    """One document of each group of near duplicates: that with the least id,
+    without an id only if none has one."""
+    rows = _numbered(docs)
+    groups = simhash.near_duplicates(rows, SHINGLE, MAX_BITS, key="_row")
+    named = groups.select("_row", "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "_row"))
+    firsts = named.groupBy("component_id").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = firsts.select("component_id", F.col("first._row").alias("first_row"))
+    return _without(rows, named.join(firsts, "component_id").where("_row != first_row"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages do not contaminate."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), WINDOW, ONE_WORD_IN)
-    return _without(docs, found.where("contaminated"))
+    rows = _numbered(docs)
+    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), WINDOW, ONE_WORD_IN, key="_row")
+    return _without(rows, found.where("contaminated"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

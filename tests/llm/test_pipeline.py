@@ -55,3 +55,31 @@ def test_rows_with_nulls_stay_or_go_by_rule(spark, tmp_path):
         assert None in ids
         assert (9001 in ids) == (name == "toxicity")
     assert pipeline.encoded(spark, docs, FOLDER).where("doc_id IS NULL").count() == 1
+
+
+def test_each_row_is_judged_by_its_own_text(spark):
+    """Repeated rows leave one, an id shared with a rejected row saves or costs
+    nothing, and rows without an id are rejected like others."""
+    start = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    schema, rows = start.schema, start.collect()
+    model = toxicity.fit(start, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    bad = next(r for r in rows if model.severity(r.text)[0] >= 0.5)
+    good = next(r for r in rows if model.severity(r.text)[0] < 0.5)
+    passage = spark.read.parquet(f"{FOLDER}/benchmark.parquet").orderBy(F.desc(F.length("text"))).first().text
+
+    def after(stage, own):
+        made = start.where("false").unionByName(spark.createDataFrame(own, schema))
+        return sorted(((r.doc_id, r.text) for r in stage(spark, made, FOLDER).collect()), key=str)
+
+    def row(doc_id, text):
+        return (doc_id, text, good.lang, good.source, len(text))
+
+    others = [tuple(r) for r in rows]
+    shared = after(pipeline.without_toxic, [*others, row(9001, good.text), row(9001, bad.text), row(None, bad.text)])
+    assert [t for i, t in shared if i == 9001] == [good.text] and all(i is not None for i, _ in shared)
+    known = after(pipeline.in_known_language, [*others, row(9001, good.text), row(9001, "12 %"), row(None, "12 %")])
+    assert [t for i, t in known if i == 9001] == [good.text] and all(i is not None for i, _ in known)
+    copies = [row(9003, good.text), row(9002, good.text), row(9002, good.text), row(None, good.text), row(None, bad.text), row(None, bad.text)]
+    assert after(pipeline.one_of_each_group, copies) == sorted([(9002, good.text), (None, bad.text)], key=str)
+    clean = after(pipeline.without_benchmark, [row(9001, "clean words"), row(9001, passage), row(None, passage)])
+    assert clean == [(9001, "clean words")]
