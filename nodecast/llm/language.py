@@ -12,7 +12,9 @@ The score of a language is the sum of log evidence from
 
 How reliable the last three are is counted over all rows by grouped aggregation
 against the text's own best language.  Host and suffix tables stay distributed
-and are joined; only the languages (at most ``LANGUAGES``) reach the driver.
+and are joined; only the languages reach the driver.  Every label that occurs is
+a language, whatever their number; a region tag (``en-US``) does not make
+another.  The text model takes 256 KB a language on the driver and in each worker.
 
 A row is kept if its text has a letter and the best posterior reaches the
 given level; otherwise its language is ``und``.  Null and empty texts give
@@ -27,14 +29,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nodecast.llm.tasks import small_batches
 from nodecast.session import materialize
 
-SAMPLE, LANGUAGES = 1000, 64
+SAMPLE = 1000
 BUCKETS, TEMPER, KAPPA, ALPHA = 1 << 16, 100.0, 10.0, 0.5
 BLOCK = 1 << 22
+OPEN = 64
+"""Languages that a task counts at once."""
+REGION = r"^\s*([a-z]{2,3}(?:[-_][a-z]{4})?)[-_](?:[a-z]{2}|[0-9]{3})\s*$"
 
 
 def trigrams(text: str) -> Iterator[np.ndarray]:
@@ -60,50 +65,72 @@ def host_parts(address: Column) -> tuple[Column, Column, Column]:
     return host, parent, suffix
 
 
+def language_tag(label: Column) -> Column:
+    """The label in lower case, without a region."""
+    return F.regexp_replace(F.lower(label), REGION, "$1")
+
+
 def fit(frame: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
     """The languages, and log P(bucket | language) as an array (bucket, language)."""
     small_batches(frame.sparkSession)
-    named = frame.select(F.lower(label).alias("label"), F.col(text).alias("text"))
-    known = named.where("label IS NOT NULL AND length(text) > 0")
-    counts = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES)
-    languages = sorted(r[0] for r in counts.collect())
+    named = frame.select(language_tag(F.col(label)).alias("label"), F.col(text).alias("text"))
+    known = named.where("label IS NOT NULL AND length(text) > 0").withColumn("mark", F.xxhash64("text"))
+    marks = materialize(known.select("label", "mark").distinct(), "marks")
+    counts = {r[0]: r[1] for r in marks.groupBy("label").count().collect()}  # a row a language
+    languages = sorted(counts)
     if not languages:
         return [], np.zeros((BUCKETS, 0), np.float32)
-    parts = []
-    for i, language in enumerate(languages):  # at most LANGUAGES
-        own = known.where(F.col("label") == language).select(F.lit(i).alias("slot"), F.xxhash64("text").alias("mark"))
-        parts.append(own.distinct().orderBy("mark").limit(SAMPLE))
-    marks = parts[0]
-    for part in parts[1:]:
-        marks = marks.unionAll(part)
-    rows = known.select("text", F.xxhash64("text").alias("mark"))
-    sample = rows.join(F.broadcast(marks), "mark").select("slot", "text")  # LANGUAGES * SAMPLE marks
+    # marks beyond a bound that leaves a few spare are dropped before they are ordered
+    shares = [(x, i, min(1.0, (1.1 * SAMPLE + 100) / counts[x])) for i, x in enumerate(languages)]
+    slots = frame.sparkSession.createDataFrame(shares, "label string, slot int, share double")
+    low = marks.join(F.broadcast(slots), "label").where(F.col("mark") / F.lit(2.0**64) + 0.5 <= F.col("share"))
+    place = F.row_number().over(Window.partitionBy("slot").orderBy("mark"))
+    chosen = low.withColumn("place", place).where(F.col("place") <= SAMPLE).select("label", "slot", "mark")
+    sample = known.join(F.broadcast(chosen), ["label", "mark"]).select("slot", "text")  # SAMPLE marks a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), BUCKETS), np.int64)
+        total: dict[int, np.ndarray] = {}
+
+        def counted() -> pa.RecordBatch:
+            parts = [(slot, np.nonzero(n)[0], n) for slot, n in total.items()]
+            columns = [
+                pa.array([slot for slot, at, _ in parts for _ in at], pa.int32()),
+                pa.array([b for _, at, _ in parts for b in at.tolist()], pa.int32()),
+                pa.array([x for _, at, n in parts for x in n[at].tolist()], pa.int64()),
+            ]
+            total.clear()
+            return pa.RecordBatch.from_arrays(columns, ["slot", "bucket", "n"])
+
         for batch in batches:
             for slot, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if slot not in total:
+                    if len(total) == OPEN:
+                        yield counted()
+                    total[slot] = np.zeros(BUCKETS, np.int64)
                 # each text counts once per bucket, so copies of long texts do not rule
                 for found in trigrams(text.as_py()):
-                    total[slot, np.unique(found)] += 1
-        slots, buckets = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(slots, pa.int32()), pa.array(buckets, pa.int32()), pa.array(total[slots, buckets])],
-            ["slot", "bucket", "n"],
-        )
+                    total[slot][np.unique(found)] += 1
+        yield counted()
 
     held = sample.mapInArrow(run, "slot int, bucket int, n long").groupBy("slot", "bucket").agg(F.sum("n").alias("n"))
-    table = np.full((BUCKETS, len(languages)), 0.5)
-    for r in held.collect():  # at most BUCKETS * LANGUAGES counts
-        table[r.bucket, r.slot] += r.n
-    return languages, np.log(table / table.sum(axis=0)).astype(np.float32)
+    held = held.toArrow()  # at most BUCKETS counts a language
+    slot, bucket, n = (held.column(c).to_numpy() for c in ("slot", "bucket", "n"))
+    table = np.full((BUCKETS, len(languages)), 0.5, np.float32)
+    order = np.argsort(slot, kind="stable")
+    ends = np.searchsorted(slot[order], np.arange(len(languages) + 1))
+    for i in range(len(languages)):
+        own, mine = np.full(BUCKETS, 0.5), order[ends[i] : ends[i + 1]]
+        own[bucket[mine]] += n[mine]
+        table[:, i] = np.log(own / own.sum())
+    return languages, table
 
 
 def text_evidence(texts: DataFrame, table: np.ndarray) -> DataFrame:
     """Adds ``evidence`` (log likelihood per language, tempered) and ``n_trigrams``
     to a frame of row parts whose last column is the text, which goes."""
     spark = small_batches(texts.sparkSession)
-    shared = spark.sparkContext.broadcast(table)  # BUCKETS * LANGUAGES floats
+    shared = spark.sparkContext.broadcast(table)  # BUCKETS floats a language
+    step = max(1, BLOCK // max(1, table.shape[1]))  # trigrams looked up at once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -112,7 +139,8 @@ def text_evidence(texts: DataFrame, table: np.ndarray) -> DataFrame:
             for text in batch.column(batch.num_columns - 1):
                 total, n = np.zeros(table.shape[1]), 0
                 for found in trigrams(text.as_py() or ""):
-                    total += table[found].sum(axis=0, dtype=np.float64)
+                    for at in range(0, len(found), step):
+                        total += table[found[at : at + step]].sum(axis=0, dtype=np.float64)
                     n += len(found)
                 evidence.append((total / n * (n / (1 + n / TEMPER)) if n else total).tolist())
                 sizes.append(n)
@@ -125,8 +153,10 @@ def text_evidence(texts: DataFrame, table: np.ndarray) -> DataFrame:
 
 def _counts(rows: DataFrame, by: str, n: int) -> DataFrame:
     """Rows of each best language for each value of ``by``, as an array."""
-    sums = [F.sum((F.col("best") == i).cast("double")) for i in range(n)]
-    return rows.where(F.col(by).isNotNull() & (F.col("n_trigrams") > 0)).groupBy(by).agg(F.array(*sums).alias(f"{by}_n"))
+    held = rows.where(F.col(by).isNotNull() & (F.col("n_trigrams") > 0)).groupBy(by, "best").count()
+    entry = F.struct("best", F.col("count").cast("double"))
+    grouped = held.groupBy(by).agg(F.map_from_entries(F.collect_list(entry)).alias("held"))  # at most one entry a language
+    return grouped.select(by, F.expr(f"transform(sequence(0, {n - 1}), i -> coalesce(try_element_at(held, i), 0D))").alias(f"{by}_n"))
 
 
 def _sum(array: str) -> str:
@@ -139,9 +169,8 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     n = len(languages)
     best = F.array_position("evidence", F.array_max("evidence")).cast("int") - 1
     rows = rows.withColumn("best", best)
-    sums = [F.sum((F.col("best") == i).cast("double")) for i in range(n)]
-    total = rows.where("n_trigrams > 0").agg(*sums).first()
-    total = [float(x or 0) for x in total]
+    held = {r[0]: r[1] for r in rows.where("n_trigrams > 0").groupBy("best").count().collect()}  # a row a language
+    total = [float(held.get(i, 0)) for i in range(n)]
     base = [(x + ALPHA) / (sum(total) + ALPHA * n) for x in total]
     whole = "array(" + ", ".join(f"{x!r}D" for x in base) + ")"
     each = "array(" + ", ".join(f"{x!r}D" for x in total) + ")"
@@ -190,7 +219,7 @@ def identify(
     ``address`` (an address or a host) are evidence."""
     languages, table = fit(frame, text, label)
     host, parent, suffix = host_parts(F.col(address) if address else F.lit(None).cast("string"))
-    shown = F.lower(F.col(declared)) if declared else F.lit(None).cast("string")
+    shown = language_tag(F.col(declared)) if declared else F.lit(None).cast("string")
     texts = frame.select(
         F.col(key).alias("key"), shown.alias("declared"), host.alias("host"), parent.alias("parent"),
         suffix.alias("suffix"), F.col(text).alias("text"),

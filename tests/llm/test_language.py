@@ -65,3 +65,14 @@ def test_rows_nulls_repeats_and_clashing_names(spark):
     assert language.identify(frame.limit(0), "lang", 0.5).collect() == []
     none = language.identify(frame.withColumn("lang", F.lit(None).cast("string")), "lang", 0.5).collect()
     assert len(none) == len(rows) and {r.language for r in none} == {"und"}
+
+
+def test_every_label_is_a_language_and_regions_are_not(spark):
+    """70 languages with words of their own; the rarest are known too."""
+    letters = "abcdefghij"
+    tag = lambda i: "x" + letters[i // 10] + letters[i % 10]
+    words = lambda i: " ".join(f"{a}{tag(i)}{a}" for a in "klmnop") + " "
+    rows = [(100 * i + k, words(i) * 3, tag(i) + ("-US" if k % 2 else "_gb")) for i in range(70) for k in range(3 if i < 66 else 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(frame, "lang", 0.5, declared="lang").collect()
+    assert len(found) == len(rows) and {(r.doc_id, r.language) for r in found} == {(i, t[:3]) for i, _, t in rows}
