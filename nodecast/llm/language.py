@@ -86,7 +86,19 @@ def fit(frame: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]
     low = marks.join(F.broadcast(slots), "label").where(F.col("mark") / F.lit(2.0**64) + 0.5 <= F.col("share"))
     place = F.row_number().over(Window.partitionBy("slot").orderBy("mark"))
     chosen = low.withColumn("place", place).where(F.col("place") <= SAMPLE).select("label", "slot", "mark")
-    sample = known.join(F.broadcast(chosen), ["label", "mark"]).select("slot", "text")  # SAMPLE marks a language
+    copies = known.join(F.broadcast(chosen), ["label", "mark"]).select("slot", "mark", "text")  # SAMPLE marks a language
+
+    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            new = []
+            for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                new.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    few = copies.mapInArrow(first_of_each, "slot int, mark long, text string")  # a task hands on one of each
+    sample = few.groupBy("slot", "mark").agg(F.min("text").alias("text")).select("slot", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}

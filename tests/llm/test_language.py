@@ -76,3 +76,11 @@ def test_every_label_is_a_language_and_regions_are_not(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = language.identify(frame, "lang", 0.5, declared="lang").collect()
     assert len(found) == len(rows) and {(r.doc_id, r.language) for r in found} == {(i, t[:3]) for i, _, t in rows}
+
+
+def test_copies_of_a_text_count_once(spark):
+    rows = [("the and of", "en"), ("some other words", "en"), ("der die und", "de")]
+    make = lambda more: spark.createDataFrame(rows + more, "text string, lang string").repartition(4)
+    once = language.fit(make([]), "text", "lang")
+    often = language.fit(make([rows[0]] * 500), "text", "lang")
+    assert once[0] == often[0] and np.array_equal(once[1], often[1])
