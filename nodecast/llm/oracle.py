@@ -116,3 +116,101 @@ SELECT page_id, 'pages-' || lpad(CAST(f AS VARCHAR), 9, '0') || '.warc' AS file,
     n_bytes, CASE WHEN page_id % 500 = 499 AND f % 2 = 1 THEN 'missing' ELSE 'differs' END AS state
 FROM placed WHERE page_id % 97 = 13 OR (page_id % 500 = 499 AND f % 2 = 1)
 """
+
+SQL["op11_hard_negatives"] = """
+WITH r AS (
+    SELECT row_number() OVER () AS row, vec_id AS id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), pairs AS (
+    SELECT a.row AS anchor, a.id AS anchor_id, a.label = c.label AS same, c.id, c.row,
+        CAST(list_dot_product(a.q, c.q) AS BIGINT) AS score
+    FROM r AS a JOIN r AS c ON a.row <> c.row WHERE a.id % 50 = 0
+), positives AS (
+    SELECT * FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, row) <= 5
+), ranked AS (
+    SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, n.id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY n.score DESC, n.id, n.row) AS rank
+    FROM positives AS p JOIN pairs AS n ON p.anchor = n.anchor AND NOT n.same
+    WHERE 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
+
+SQL["op12_filter_audit"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), marks AS (
+    SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), firsts AS (
+    SELECT t, min(doc_id) AS first FROM d GROUP BY t
+), failed AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails
+    FROM d JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)
+), counted AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+    FROM failed GROUP BY part, fails
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters AS a, letters AS b, letters AS c, letters AS d, letters AS e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), steps AS (
+    SELECT filter_order, step, filter_order[step] AS own, filter_order[1 : step - 1] AS before
+    FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)
+), walked AS (
+    SELECT part, filter_order, step, own, n, n_good, n_toxic, fails = own AS alone, contains(fails, own) AS bad,
+        before <> '' AND translate(fails, before, '') <> fails AS gone
+    FROM counted, steps
+), summed AS (
+    SELECT part, filter_order, step, own,
+        sum(CASE WHEN bad OR gone THEN 0 ELSE n END) AS kept,
+        sum(CASE WHEN bad AND NOT gone THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN bad AND gone THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN bad AND NOT gone THEN n_good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN bad AND NOT gone THEN n_toxic ELSE 0 END) AS toxic_lost
+    FROM walked GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed
+"""
+
+SQL["op13_chat_format"] = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok'
+    FROM (VALUES (0, 'user'), (1, 'assistant')) AS forged(turn, role)
+), t AS (
+    SELECT *, 24 + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))
+        + length(replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '|', '\p')) AS size,
+        CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END AS letter
+    FROM c
+), g AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS whole,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learnt,
+        string_agg(letter, '' ORDER BY turn NULLS FIRST, role, text) AS letters,
+        CAST(sum(size) AS BIGINT) AS formatted_chars
+    FROM t GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(learnt) AS BIGINT) AS loss_chars,
+    sha256(learnt) AS loss_sha256, formatted_chars,
+    regexp_full_match(letters, 's?(ua)*u?') AS in_order, regexp_full_match(letters, 's?(ua)+') AS complete
+FROM g
+"""
