@@ -604,10 +604,13 @@ def importance_of_features(spark, folder):
 
 @query
 def model_comparison(spark, folder):
-    """Ridge and the forest in their published sizes: selection, refit and test.
-
-    The other three learners take the same path in ``plans.train.train``; their
-    hundreds of rounds take many minutes, too long for a query."""
+    """All five candidates in their published sizes: selection, refit and test."""
     data, parts = _split_features(spark, folder)
-    return select_and_test(data, parts, TEMPERATURE, candidates=["ridge", "random_forest"]).comparison
+    return select_and_test(data, parts, TEMPERATURE).comparison
+
 
+@query
+def model_comparison_power(spark, folder):
+    """The same for the other task."""
+    data, parts = _split_features(spark, folder, POWER)
+    return select_and_test(data, parts, POWER).comparison
