@@ -22,7 +22,8 @@ CHARACTERS = 5_000_000
 
 
 def proven(bpe: WordBpe) -> frozenset[str]:
-    """Texts of vocabulary strings that are one pre-token and one token."""
+    """Texts of vocabulary strings that are one pre-token and one token, and the
+    special strings as pieces have them."""
     byte_of = {letter: b for b, letter in enumerate(byte_letters())}
     candidates = []
     for token in bpe.vocab:
@@ -36,7 +37,7 @@ def proven(bpe: WordBpe) -> frozenset[str]:
                 candidates.append(word)
     _, offsets = bpe.encode_words(candidates)
     single = np.diff(offsets) == 1
-    return frozenset([*(w for w, one in zip(candidates, single) if one), *bpe.special])
+    return frozenset([*(w for w, one in zip(candidates, single) if one), *(" " + s for s in bpe.special)])
 
 
 def count_texts(bpe: WordBpe, whole: frozenset[str], texts: list[str]) -> list[int]:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterable
@@ -26,12 +27,39 @@ import regex
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-PRE_TOKEN = regex.compile(PATTERN.replace(r"\s", SPACE))
 # outside of plain Latin text, whose letters are composed and have one lower-case form each
 NOT_LATIN = re.compile(
     r"[^\t-\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0137\u0139-\u0148\u014a-\u017f]"
 )
 NOT_SPACE = re.compile(f"[^{SPACE}]+")
+# fixed values: capitals of Unicode 16 and 17, which the library lower-cases and Python 3.13 does not
+LATER_LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+    0xA7DA: 0xA7DB, 0xA7DC: 0x019B, **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+    **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+LATER = re.compile("[" + "".join(map(chr, LATER_LOWER)) + "]")
+
+
+def pre_token_pattern() -> regex.Pattern:
+    """The pattern with letters and numbers as the library knows them: those of
+    Unicode 15, as ``unicodedata`` has them.  ``regex`` knows later ones too."""
+    unknown = "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn")
+    later = regex.findall(r"[\p{L}\p{N}]+", unknown)
+    runs = [run for found in later for run in _runs([ord(c) for c in found])]
+    if not runs:
+        return regex.compile(PATTERN.replace(r"\s", SPACE))
+    later = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
+    letters, numbers = (rf"(?:(?![{later}])\p{{{kind}}})" for kind in "LN")
+    other = rf"(?:[^{SPACE}\p{{L}}\p{{N}}]|[{later}])"
+    known = PATTERN.replace(r"[^\s\p{L}\p{N}]", other).replace(r"[\p{L}]", letters).replace(r"[\p{N}]", numbers)
+    return regex.compile(known)
+
+
+def _runs(numbers: list[int]) -> list[tuple[int, int]]:
+    """First and last of each run of consecutive numbers."""
+    cuts = [0, *(i for i in range(1, len(numbers)) if numbers[i] != numbers[i - 1] + 1), len(numbers)]
+    return [(numbers[i], numbers[j - 1]) for i, j in zip(cuts, cuts[1:])]
 
 
 class WordBpe:
@@ -50,6 +78,7 @@ class WordBpe:
         self.vocab = vocab
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = special
+        self.pre_token = pre_token_pattern()
         self.special_split = re.compile("(" + "|".join(map(re.escape, special)) + ")")
         self.tokens = np.empty(max([*vocab.values(), *special.values()]) + 1, dtype=object)
         for text, number in (vocab | special).items():
@@ -77,18 +106,19 @@ class WordBpe:
 
     def pieces(self, text: str) -> list[str]:
         """What lies between white space, lower-cased; a special string stands
-        for itself."""
+        for itself, after a space, which no other piece holds: what only looks
+        like one once it is lower-cased is text."""
         if "<|" not in text:
             return lower_pieces(text)
         found: list[str] = []
         for part in self.special_split.split(text):
-            found.extend([part] if part in self.special else lower_pieces(part))
+            found.extend([" " + part] if part in self.special else lower_pieces(part))
         return found
 
     def pre_tokens(self, piece: str) -> list[str]:
-        if piece.isalpha() or piece in self.special:
+        if piece[0] == " " or piece.isalpha():
             return [piece]
-        return PRE_TOKEN.findall(piece)
+        return self.pre_token.findall(piece)
 
     # -- pre-tokens to ids --------------------------------------------------
 
@@ -100,10 +130,10 @@ class WordBpe:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words end to end, and the offset of each word (one more
-        offset than words).  Special strings give their own id."""
+        offset than words).  Special strings, after a space, give their own id."""
         if not words:
             return np.empty(0, np.int32), np.zeros(1, np.int64)
-        raw = [b"\0" if w in self.special else w.encode("utf-8") for w in words]
+        raw = [b"\0" if w[0] == " " else w.encode("utf-8") for w in words]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         ends = np.cumsum(sizes)
         starts = ends - sizes
@@ -115,9 +145,8 @@ class WordBpe:
         after[ends - 1] = -1
         before = np.arange(-1, n - 1, dtype=np.int32)
         before[starts] = -1
-        special = [i for i, w in enumerate(words) if w in self.special]
-        for i in special:
-            ids[starts[i]] = self.special[words[i]]
+        for i in (i for i, w in enumerate(words) if w[0] == " "):
+            ids[starts[i]] = self.special[words[i][1:]]
         self._merge(ids, before, after)
         alive = ids >= 0
         counts = np.concatenate(([0], np.cumsum(alive)))
@@ -199,7 +228,8 @@ def lower_pieces(text: str) -> list[str]:
         return text.lower().split()
     # one letter at a time: Python alone has a final sigma
     text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
-    return NOT_SPACE.findall(text.lower())
+    text = text.lower()
+    return NOT_SPACE.findall(text.translate(LATER_LOWER) if LATER.search(text) else text)
 
 
 class Numbering(dict):

@@ -45,6 +45,30 @@ def test_ids_and_text_equal_the_library(library, texts):
         assert bpe.decode(ids) == library.decode(wanted, skip_special_tokens=False)
 
 
+def both(bpe, library, texts):
+    """Ids and counts here, and the library's ids."""
+    whole = token_counts.proven(bpe)
+    for at in range(0, len(texts), 20_000):
+        part = texts[at : at + 20_000]
+        wanted = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        ids = [i.tolist() for i in bpe_codec.encode_texts(bpe, part)]
+        assert [t for t, a, b in zip(part, ids, wanted) if a != b] == []
+        assert token_counts.count_texts(bpe, whole, part) == [len(w) for w in wanted]
+
+
+def test_every_code_point(library):
+    # private and unassigned planes are alike throughout; the first of each are there
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x33500 or 0xE0000 <= c < 0xE1000 or c % 4099 == 0)]
+    both(WordBpe(PATH), library, [f"a{chr(c)}b" for c in points])
+
+
+def test_mixes_of_special_strings(library):
+    rnd = random.Random(11)
+    special = ["<|endoftext|>", "<|startoftext|>"]
+    pieces = [*special, *(s.upper() for s in special), "<|EndOfText|>", "<|endoftext", "|>", "<|", " ", "a", "Été", "\n", "1", "!"]
+    both(WordBpe(PATH), library, ["".join(rnd.choices(pieces, k=rnd.randint(1, 6))) for _ in range(30_000)])
+
+
 def test_counts_equal_the_library(library, texts):
     bpe = WordBpe(PATH)
     counts = token_counts.count_texts(bpe, token_counts.proven(bpe), texts)
