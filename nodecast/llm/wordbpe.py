@@ -38,14 +38,23 @@ LATER_LOWER = {
     0xA7DA: 0xA7DB, 0xA7DC: 0x019B, **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
     **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
 }
+# fixed values: letters and numbers that Unicode 16 added, first and last of each run
+ADDED = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9), (0x13460, 0x143FA),
+    (0x16100, 0x1611D), (0x16130, 0x16139), (0x16D40, 0x16D6C), (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9),
+    (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA),
+)
 LATER = re.compile("[" + "".join(map(chr, LATER_LOWER)) + "]")
 
 
 def pre_token_pattern() -> regex.Pattern:
     """The pattern with letters and numbers as the library knows them: those of
-    Unicode 15, as ``unicodedata`` has them.  ``regex`` knows later ones too."""
-    unknown = "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn")
-    later = regex.findall(r"[\p{L}\p{N}]+", unknown)
+    Unicode 15, as ``unicodedata`` has them, and 16.  ``regex`` knows later ones too."""
+    added = {c for first, last in ADDED for c in range(first, last + 1)}
+    unknown = (c for c in range(sys.maxunicode + 1) if c not in added and unicodedata.category(chr(c)) == "Cn")
+    later = regex.findall(r"[\p{L}\p{N}]+", "".join(map(chr, unknown)))
     runs = [run for found in later for run in _runs([ord(c) for c in found])]
     if not runs:
         return regex.compile(PATTERN.replace(r"\s", SPACE))
