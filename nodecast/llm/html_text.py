@@ -20,7 +20,8 @@ page to learn from, the layouts alone are learnt.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -38,7 +39,7 @@ BLOCK = frozenset(
     " figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol"
     " option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
-HIDDEN = frozenset("script style template noscript svg math iframe object canvas textarea".split())
+HIDDEN = frozenset("script style template iframe textarea".split())
 #: a start tag closes open elements of these names, up to the nearest of the others
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -58,34 +59,75 @@ NAME = re.compile(r"[a-z]+")
 
 
 class Blocks(HTMLParser):
-    """Collects (text, ancestors, linked characters) of the leaf blocks."""
+    """Collects (text, above, own, linked characters) of the leaf blocks.
 
-    def __init__(self):
+    ``own`` is the block element that holds the text, ``above`` what its ancestors
+    say: their features or, with ``weights``, only the sum of these features'
+    weights, which is kept up to date as elements open and close.  So the work is
+    linear in the page, however deep its elements are nested.
+    """
+
+    def __init__(self, weights: dict[str, float] | None = None):
         super().__init__(convert_charrefs=True)
-        self.found: list[tuple[str, tuple, int]] = []
-        self.stack: list[tuple[str, tuple]] = []
+        self.found: list[tuple] = []
+        self.weights = weights
+        self.stack: list[tuple[str, list[str]]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)  # where each tag is open
+        self.block_places: list[int] = []
+        self.active: Counter = Counter()  # features of the open elements
+        self.score = 0.0
         self.text: list[str] = []
         self.linked = 0
         self.hidden = 0
 
+    def parse_marked_section(self, i, report=1):
+        """What HTML does not know, like ``<![if x]>``, is a comment."""
+        return self.parse_bogus_comment(i)
+
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.found.append((text, tuple(self.stack), self.linked))
+            own = self.stack[self.block_places[-1]][0] if self.block_places else ""
+            above = frozenset(self.active) if self.weights is None else self.score
+            self.found.append((text, above, own, self.linked))
         self.text, self.linked = [], 0
 
+    def _nearest(self, names) -> int:
+        return max((self.places[n][-1] for n in names if self.places[n]), default=-1)
+
     def _close(self, names: tuple, stops: tuple) -> None:
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] in names:
-                self.flush()
-                self._cut(at)
-                return
-            if self.stack[at][0] in stops:
-                return
+        at = self._nearest(names)
+        if at > self._nearest(stops):
+            self.flush()
+            self._cut(at)
+
+    def _open(self, tag: str, words: list[str]) -> None:
+        own = ["t:" + tag, *("c:" + w for w in words)]
+        self.places[tag].append(len(self.stack))
+        if tag in BLOCK:
+            self.block_places.append(len(self.stack))
+        self.stack.append((tag, own))
+        self.hidden += tag in HIDDEN
+        for feature in own:
+            self.active[feature] += 1
+            if self.weights is not None and self.active[feature] == 1:
+                self.score += self.weights.get(feature, 0.0)
 
     def _cut(self, at: int) -> None:
-        self.hidden -= sum(name in HIDDEN for name, _ in self.stack[at:])
-        del self.stack[at:]
+        while len(self.stack) > at:
+            tag, own = self.stack.pop()
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.block_places.pop()
+            self.hidden -= tag in HIDDEN
+            for feature in own:
+                self.active[feature] -= 1
+                if not self.active[feature]:
+                    del self.active[feature]
+                    if self.weights is not None:
+                        self.score -= self.weights.get(feature, 0.0)
+        if not self.stack:
+            self.score = 0.0
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -97,51 +139,47 @@ class Blocks(HTMLParser):
             if tag == "br":
                 self.text.append(" ")
             return
-        words = tuple(
-            w for key, value in attrs if key in ("class", "id", "role") and value for w in NAME.findall(value.lower())
+        self._open(
+            tag, [w for key, value in attrs if key in ("class", "id", "role") and value for w in NAME.findall(value.lower())]
         )
-        self.stack.append((tag, words))
-        self.hidden += tag in HIDDEN
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.flush()
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
-                self._cut(at)
-                return
-            if tag not in BLOCK and self.stack[at][0] in BLOCK:
-                return  # an inline end tag does not reach past its block
+        at = self._nearest((tag,))
+        # an inline end tag does not reach past its block
+        if at >= 0 and (tag in BLOCK or not self.block_places or at > self.block_places[-1]):
+            self._cut(at)
 
     def handle_data(self, data):
         if not self.hidden:
             self.text.append(data)
-            if any(name == "a" for name, _ in self.stack):
+            if self.places["a"]:
                 self.linked += len(data.strip())
 
 
-def blocks(html: str) -> list[tuple[str, tuple, int]]:
-    parser = Blocks()
+def blocks(html: str, weights: dict[str, float] | None = None) -> list[tuple]:
+    parser = Blocks(weights)
     parser.feed(html)
     parser.close()
     parser.flush()
     return parser.found
 
 
-def features(block: tuple[str, tuple, int]) -> list[str]:
-    text, stack, linked = block
-    found = {"t:" + name for name, _ in stack}
-    for _, words in stack:
-        found.update("c:" + w for w in words)
-    own = [name for name, _ in stack if name in BLOCK]
-    found.add("own:" + (own[-1] if own else ""))
-    found.add(f"length:{min(len(text).bit_length(), 12)}")
-    found.add(f"links:{min(4, 4 * linked // len(text))}")
+def own_features(block: tuple) -> set[str]:
+    """What a block's own element and text say."""
+    text, _, own, linked = block
+    found = {"own:" + own, f"length:{min(len(text).bit_length(), 12)}", f"links:{min(4, 4 * linked // len(text))}"}
     found.add("sentence" if text[-1] in ".!?…»”\"'" else "no sentence")
-    found.update("cue:" + w for w in CUES.intersection(WORD.findall(text[:400].lower())))
+    found.update("cue:" + w for w in CUES.intersection(WORD.findall(text.lower())))
     if "©" in text:
         found.add("cue:©")
-    return sorted(found)
+    return found
+
+
+def features(block: tuple) -> list[str]:
+    """All features of a block that was parsed without weights."""
+    return sorted(own_features(block) | block[1])
 
 
 class Chain:
@@ -150,15 +188,20 @@ class Chain:
     def __init__(self, weights: dict[str, float], moves: np.ndarray, bias: float):
         self.weights, self.moves, self.bias = weights, moves.tolist(), bias
 
+    def worth(self, own: Iterable[str]) -> float:
+        return sum(self.weights.get(f, 0.0) for f in sorted(own))
+
     def labels(self, page: list[list[str]]) -> list[bool]:
-        """Viterbi: which blocks are content.  A block's score is that of
-        content against the rest."""
-        if not page:
+        """Which blocks, given by their features, are content."""
+        return self.decode([self.bias + self.worth(own) for own in page])
+
+    def decode(self, scores: list[float]) -> list[bool]:
+        """Viterbi.  A block's score is that of content against the rest."""
+        if not scores:
             return []
-        weights, (stay_out, go_in), (go_out, stay_in) = self.weights, *self.moves
+        (stay_out, go_in), (go_out, stay_in) = self.moves
         out, inside, back = 0.0, 0.0, []
-        for i, own in enumerate(page):
-            score = self.bias + sum(weights.get(f, 0.0) for f in own)
+        for i, score in enumerate(scores):
             if i:
                 from_out, from_in = (out + stay_out, inside + go_out), (out + go_in, inside + stay_in)
                 back.append((from_out[1] > from_out[0], from_in[1] > from_in[0]))
@@ -172,8 +215,8 @@ class Chain:
         return [*found, label][::-1]
 
     def text(self, html: str | None) -> str:
-        found = blocks(html or "")
-        keep = self.labels([features(b) for b in found])
+        found = blocks(html or "", self.weights)
+        keep = self.decode([self.bias + b[1] + self.worth(own_features(b)) for b in found])
         return "\n".join(b[0] for b, k in zip(found, keep) if k)
 
 
@@ -258,10 +301,9 @@ def filled(layout: str, paragraphs: list[str]) -> tuple[str, list[bool]]:
     return "".join(html), labels
 
 
-def says(block: tuple[str, tuple, int]) -> bool:
+def says(block: tuple) -> bool:
     """Whether the markup itself makes a block part of the article."""
-    names = [name for name, _ in block[1]]
-    return "article" in names and not {"nav", "aside", "footer", "form"}.intersection(names)
+    return "t:article" in block[1] and not {"t:nav", "t:aside", "t:footer", "t:form"} & block[1]
 
 
 PLAIN = ["One plain sentence that stands for the text of a page.", "Another one, a little longer than the first, follows it here."]
