@@ -14,27 +14,26 @@ likewise of the sample's own true pairs, and ``SPARE`` times as many for what
 the sample does not show.  So the number does not depend on pairs that happen to
 meet in the sample.
 
-Where so many visits cost more than comparing all vectors (one visit is counted
-as ``VISIT`` comparisons), all pairs of vectors are compared, block by block, and
-no link is missed.  Single precision finds the pairs, double precision decides
-those near the bound.
-
-Cells and visits meet by the cell's number.  A cell with many vectors is cut
-into blocks of at most about ``BLOCK`` vectors by a hash of the id, and visitors
-likewise, so that no task holds a whole cell; each pair of blocks is compared
-as one matrix product in double precision.  A pair of blocks gives counts and a
-spanning forest of its links, never all pairs.
+Rows with equal vectors are one node with a weight, so copies are compared once.
+Cells hold about ``CELL`` nodes each.  Neighbouring cells form a group of about
+``MEMBERS`` nodes, and a node is sent to each group it visits once, with the
+cells it visits there, in the type it is stored in; there the visited cells are
+compared as matrix products, in double precision.  A group with many members or visitors (a large
+set of near copies) is cut into blocks of ``MEMBERS`` by a hash, so that no task holds a
+whole one.  A pair of blocks gives counts and a spanning forest of its links,
+never all pairs.
 
 Vectors that are null, zero, or hold null or non-finite components, or have
-another length than most, link with nothing.  Rows that share an id are one
-vector (the least of theirs) and each get its result; rows without an id link
-with nothing.  Other columns are not read.
+another length than most, link with nothing.  Every row counts as a vector of its
+own, whether it shares its id with others or has none; a row's component is the
+least id reachable, which is null if no row there has one, and then it isn't
+kept.  Rows that share an id and lie in components of their own get each their
+own result.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,10 +46,9 @@ from nodecast.llm.tasks import hashed_sample, small_batches
 from nodecast.session import materialize
 
 SAMPLE, RECALL, SPARE = 8192, 0.99, 2
-BLOCK = 1024
-LEAST_CELLS = 8
-VISIT = 2500
-"""Comparisons of two vectors that cost about as much as one visit of a cell."""
+CELL, MEMBERS = 512, 4096
+PRODUCT = 1 << 21
+"""Entries of one matrix product."""
 
 
 def centres(x: np.ndarray, codes: int, rounds: int = 12) -> np.ndarray:
@@ -131,7 +129,8 @@ class Grid:
         single = one_of_each(sample[~held], least)
         codes = min(codes, max(1, len(single) // 4))
         self.books = [centres(single[:, : self.half], codes), centres(single[:, self.half :], codes)]
-        self.cells = LEAST_CELLS
+        self._order_right()
+        self.cells = 1
         queries = sample[held] if held.any() else sample
         for pairs in (made_pairs(one_of_each(queries, least), least), *true_pairs(queries, sample, least)):
             x, y = pairs
@@ -140,6 +139,17 @@ class Grid:
                 needed = int(np.sort(ranks)[int(np.ceil(RECALL * len(ranks))) - 1])
                 self.cells = max(self.cells, SPARE * needed)
 
+    def _order_right(self) -> None:
+        """Numbers the right centres along their main axis, so that cells with near numbers are near."""
+        book = self.books[1] - self.books[1].mean(axis=0)
+        axis = np.linalg.svd(book, full_matrices=False)[2][0]
+        self.books[1] = self.books[1][np.argsort(book @ axis, kind="stable")]
+
+    def group_of(self, cell: np.ndarray) -> np.ndarray:
+        """The group of a cell: some neighbouring right centres under one left centre."""
+        width, span = len(self.books[1]), max(1, MEMBERS // CELL)
+        return cell // width * -(-width // span) + cell % width // span
+
     def distances(self, x: np.ndarray) -> list[np.ndarray]:
         parts = (x[:, : self.half], x[:, self.half :])
         return [(b * b).sum(1) - 2 * p @ b.T + (p * p).sum(1)[:, None] for p, b in zip(parts, self.books)]
@@ -165,18 +175,24 @@ class Grid:
         return np.array(found, int)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows of length one; rows that are zero or not finite become NaN."""
+    top = np.abs(x).max(axis=1, initial=0)[:, None]
+    top = np.where(np.isfinite(top) & (top > 0), top, np.nan)
+    x = x / top  # the square of a component cannot overflow or vanish
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def unit(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The usable vectors of an Arrow list column, scaled, and which rows they are."""
     rows, places = [], []
     for i, v in enumerate(column.to_pylist()):
         if v and None not in v and (width is None or len(v) == width):
-            x = np.asarray(v, dtype=np.float64)
-            top = np.abs(x).max()
-            if np.isfinite(top) and top > 0:
-                x = x / top  # the square of a component cannot overflow or vanish
-                rows.append(x / np.sqrt(x @ x))
-                places.append(i)
-    return np.array(rows).reshape(len(rows), width or (len(rows[0]) if rows else 0)), np.array(places, int)
+            rows.append(v)
+            places.append(i)
+    x = scaled(np.array(rows, dtype=np.float64).reshape(len(rows), width or (len(rows[0]) if rows else 0)))
+    good = ~np.isnan(x).any(axis=1)
+    return x[good], np.array(places, int)[good]
 
 
 def build(vectors: DataFrame, vector: str, n: int, least: float) -> tuple[Grid | None, int]:
@@ -190,35 +206,40 @@ def build(vectors: DataFrame, vector: str, n: int, least: float) -> tuple[Grid |
     sample, _ = unit(pa.array([r[0] for r in rows]), length.width)
     if not len(sample):
         return None, 0
-    codes = 1 << max(3, round(np.log2(max(n, 2)) / 2))  # about one vector a cell
-    return Grid(sample, min(codes, 4096), least), length.width
-
+    codes = min(4096, max(1, round(np.sqrt(n / CELL))))
+    return Grid(sample, codes, least), length.width
 
-def _pack(rows: np.ndarray) -> list[bytes]:
-    return [r.tobytes() for r in np.ascontiguousarray(rows)]
 
-
-def _placed(vectors: DataFrame, key: str, vector: str, grid: Grid, width: int) -> DataFrame:
-    """``id, row, cell, visits, vec`` of the usable vectors."""
-    spark = small_batches(vectors.sparkSession)
+def _placed(nodes: DataFrame, grid: Grid, width: int, kind: str) -> DataFrame:
+    """``node, weight, cell, g, goals, vec`` of the usable nodes: the group and cell
+    they lie in, and by group the cells they visit."""
+    spark = small_batches(nodes.sparkSession)
     shared = spark.sparkContext.broadcast(grid)  # two codebooks of at most 4,096 centres
+    goals = pa.list_(pa.struct([("g", pa.int64()), ("cells", pa.list_(pa.int64()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, places = unit(batch.column(1), width)
-            if len(x):
-                grid = shared.value
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(places)),
-                        pa.array(grid.cell_of(x)),
-                        pa.array(list(grid.visited(x)), pa.list_(pa.int64())),
-                        pa.array(_pack(x), pa.binary()),
-                    ],
-                    ["id", "cell", "visits", "vec"],
-                )
+            x, places = unit(batch.column(2), width)
+            if not len(x):
+                continue
+            grid, taken = shared.value, pa.array(places)
+            cell, visited = grid.cell_of(x), grid.visited(x)
+            groups = grid.group_of(visited)
+            by_group = []
+            for own, cells in zip(groups, visited):
+                found: dict[int, list[int]] = {}
+                for g, c in zip(own.tolist(), cells.tolist()):
+                    found.setdefault(g, []).append(c)
+                by_group.append([{"g": g, "cells": cells} for g, cells in found.items()])
+            raw = np.array(batch.column(2).take(taken).to_pylist(), dtype=kind)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(cell), pa.array(grid.group_of(cell)),
+                 pa.array(by_group, goals), pa.array([r.tobytes() for r in raw], pa.binary())],
+                ["node", "weight", "cell", "g", "goals", "vec"],
+            )
 
-    return vectors.select(key, vector).mapInArrow(run, "id long, cell long, visits array<long>, vec binary")
+    types = "node long, weight long, cell long, g long, goals array<struct<g: long, cells: array<long>>>, vec binary"
+    return nodes.select("node", "weight", "v").mapInArrow(run, types)
 
 
 def forest(close: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,150 +255,82 @@ def forest(close: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = lower
 
 
-def _compare(least: float, width: int):
-    """A function on one group: members of some cells and the visitors of these."""
+def _compare(least: float, width: int, kind: str):
+    """A function on one group: some members and some visitors of its cells."""
 
-    def stack(rows) -> np.ndarray:
-        return np.frombuffer(b"".join(rows), np.float64).reshape(-1, width)
+    def stack(rows: pd.DataFrame) -> np.ndarray:
+        return scaled(np.frombuffer(b"".join(rows["vec"]), kind).reshape(-1, width).astype(np.float64))
 
     def run(members: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
         edges: list[tuple[int, int]] = []
-        counts: Counter = Counter()
-        by_cell = members.groupby("cell").indices if len(visitors) else {}
-        for cell, guests in visitors.groupby("goal").indices.items() if by_cell else ():
-            held = by_cell.get(cell)
-            if held is None:
-                continue
-            ids, guest_ids = members["id"].to_numpy()[held], visitors["id"].to_numpy()[guests]
-            close = stack(visitors["vec"].iloc[guests]) @ stack(members["vec"].iloc[held]).T >= least
-            close &= guest_ids[:, None] != ids[None, :]
-            if not close.any():
-                continue
-            for guest, n in zip(guest_ids.tolist(), close.sum(axis=1).tolist()):
-                counts[guest] += n
-            # a member that does not visit the guest's cell does not count the link itself
-            homes = visitors["cell"].to_numpy()[guests]
-            for place, goals in enumerate(members["visits"].iloc[held]):
-                linked = close[:, place]
-                if linked.any():
-                    counts[int(ids[place])] += int((~np.isin(homes[linked], goals)).sum())
-            by_row, by_column = forest(close)
-            for own, roots in ((guest_ids, by_row), (ids, by_column)):
-                has = roots >= 0
-                edges += zip(own[has].tolist(), guest_ids[roots[has]].tolist())
-        rows = [(a, b, 0) for a, b in edges if a != b] + [(a, None, n) for a, n in counts.items() if n]
+        if not len(members) or not len(visitors):
+            return pd.DataFrame({"a": [], "b": [], "n": []}).astype("Int64")
+        x, y = stack(members), stack(visitors)
+        ids, guests = members["node"].to_numpy(), visitors["node"].to_numpy()
+        weights, guest_weights = members["weight"].to_numpy(), visitors["weight"].to_numpy()
+        homes = visitors["cell"].to_numpy()
+        goals = members["visits"].to_list()
+        counts, guest_counts = np.zeros(len(ids), np.int64), np.zeros(len(guests), np.int64)
+        sizes = visitors["cells"].map(len).to_numpy()
+        asked, who = np.concatenate(visitors["cells"].to_list()), np.repeat(np.arange(len(guests)), sizes)
+        by_cell = pd.Series(np.arange(len(asked))).groupby(asked).indices
+        for cell, held in members.groupby("cell").indices.items():
+            came = who[by_cell[cell]] if cell in by_cell else np.empty(0, np.int64)
+            step = max(1, PRODUCT // len(held))
+            for at in range(0, len(came), step):
+                part = came[at : at + step]
+                close = y[part] @ x[held].T >= least
+                close &= guests[part][:, None] != ids[held][None, :]
+                if not close.any():
+                    continue
+                guest_counts[part] += close @ weights[held]
+                # a member that does not visit the guest's cell does not count the link itself
+                for place in np.flatnonzero(close.any(axis=0)):
+                    linked = part[close[:, place]]
+                    counts[held[place]] += guest_weights[linked][~np.isin(homes[linked], goals[held[place]])].sum()
+                by_row, by_column = forest(close)
+                for own, roots in ((guests[part], by_row), (ids[held], by_column)):
+                    has = roots >= 0
+                    edges += zip(own[has].tolist(), guests[part][roots[has]].tolist())
+        rows = [(a, b, 0) for a, b in edges if a != b]
+        for own, sums in ((ids, counts), (guests, guest_counts)):
+            rows += [(a, None, n) for a, n in zip(own.tolist(), sums.tolist()) if n]
         return pd.DataFrame(rows, columns=["a", "b", "n"]).astype("Int64")
 
     return run
 
 
-def _groups(placed: DataFrame, n: int, cells: int) -> tuple[DataFrame, DataFrame]:
-    """Members and visitors under the group where they meet.  Small cells share
-    a group by a hash of their number; a large cell is cut into blocks of
-    members times blocks of visitors."""
-    own = [F.col(c).alias(c) for c in ("id", "cell", "vec")]  # columns of its own for the cogroup
-    goals = placed.select(*own, F.explode("visits").alias("goal"))
-    held = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("held"))
-    came = goals.groupBy("goal").agg(F.count(F.lit(1)).alias("came"))
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    sizes = held.join(came, held["cell"] == came["goal"]).select(
-        held["cell"].alias("at"), blocks("held").alias("m_blocks"), blocks("came").alias("v_blocks")
+def _links(placed: DataFrame, least: float, width: int, kind: str) -> DataFrame:
+    """Counts and links, found group by group.  Large groups are cut into blocks
+    of members times blocks of visitors."""
+    visits = F.flatten(F.col("goals.cells")).alias("visits")
+    own = [F.col(c).alias(c) for c in ("node", "weight", "cell", "vec")]  # columns of its own for the cogroup
+    goals = placed.select(*own, F.inline("goals").alias("to", "cells"))
+    held = placed.groupBy("g").agg(F.count(F.lit(1)).alias("held"))
+    came = placed.select(F.explode("goals.g").alias("to")).groupBy("to").agg(F.count(F.lit(1)).alias("came"))
+    blocks = lambda c: F.ceil(F.col(c) / MEMBERS).cast("int")
+    sizes = held.join(came, held["g"] == came["to"]).select(
+        F.col("g").alias("at"), blocks("held").alias("m_blocks"), blocks("came").alias("v_blocks")
     )
-    sizes = materialize(sizes, "cells")
-    shared = F.pmod(F.xxhash64("at"), F.lit(max(1, n * cells // (8 * BLOCK))))
-    alone = (F.col("m_blocks") > 1) | (F.col("v_blocks") > 1)
-    group = F.when(alone, -1 - F.col("at")).otherwise(shared).alias("g")
+    sizes = materialize(sizes, "groups")
     any_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    mine = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+    mine = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
     members = (
-        placed.join(sizes, placed["cell"] == sizes["at"])
+        placed.select("g", "node", "weight", "cell", visits, "vec")
+        .join(sizes, F.col("g") == F.col("at"))
         .withColumn("m", mine("m_blocks"))
         .withColumn("v", any_of("v_blocks"))
-        .select(group, "m", "v", "id", "cell", "visits", "vec")
+        .select("g", "m", "v", "node", "weight", "cell", "visits", "vec")
     )
     visitors = (
-        goals.join(sizes, goals["goal"] == sizes["at"])
+        goals.join(sizes, F.col("to") == F.col("at"))
         .withColumn("v", mine("v_blocks"))
         .withColumn("m", any_of("m_blocks"))
-        .select(group, "m", "v", "id", "cell", "goal", "vec")
+        .select(F.col("to").alias("g"), "m", "v", "node", "weight", "cell", "cells", "vec")
     )
-    return members, visitors
-
-
-def _close(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
-    """Which rows of ``x`` and ``y`` have a cosine of at least ``least``."""
-    rough = x.astype(np.float32) @ y.astype(np.float32).T
-    slack = (x.shape[1] + 2) * 2.0**-23
-    close = rough >= least - slack
-    if close.any():
-        a, b = np.nonzero(close & (rough < least + slack))
-        for at in range(0, len(a), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            close[a[part], b[part]] = np.einsum("ij,ij->i", x[a[part]], y[b[part]]) >= least
-    return close
-
-
-def _compare_blocks(least: float, width: int):
-    """A function on one group: the rows of block ``lo`` against those of ``hi``."""
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = key
-        sides = [rows[rows["block"] == b] for b in (lo, hi)]
-        ids = [s["id"].to_numpy() for s in sides]
-        x = [np.frombuffer(b"".join(s["vec"]), np.float64).reshape(-1, width) for s in sides]
-        counts = [np.zeros(len(i), np.int64) for i in ids]
-        above: dict[int, int] = {}  # a spanning forest: each id's parent
-
-        def root(i: int) -> int:
-            while (up := above.get(i, i)) != i:
-                above[i] = above.get(up, up)
-                i = up
-            return i
-
-        for p in range(0, len(ids[0]), BLOCK):
-            for q in range(p if lo == hi else 0, len(ids[1]), BLOCK):
-                own, other = slice(p, p + BLOCK), slice(q, q + BLOCK)
-                close = _close(x[0][own], x[1][other], least)
-                same = lo == hi and p == q
-                if same:
-                    np.fill_diagonal(close, False)
-                if not close.any():
-                    continue
-                counts[0][own] += close.sum(axis=1)
-                if not same:
-                    counts[1][other] += close.sum(axis=0)
-                firsts = ids[0][own]
-                for mine, roots in zip((firsts, ids[1][other]), forest(close)):
-                    has = roots >= 0
-                    for a, b in zip(mine[has].tolist(), firsts[roots[has]].tolist()):
-                        above[root(a)] = root(b)
-        edges = [(a, root(a), 0) for a in list(above) if root(a) != a]
-        linked = [(i, None, n) for own, sums in zip(ids, counts) for i, n in zip(own.tolist(), sums.tolist()) if n]
-        return pd.DataFrame(edges + linked, columns=["a", "b", "n"]).astype("Int64")
-
-    return run
-
-
-def _all_pairs(vectors: DataFrame, key: str, vector: str, least: float, width: int, n: int) -> DataFrame:
-    """Links of all vectors, found block against block."""
-    spark = small_batches(vectors.sparkSession)
-    rows_a_block = min(max(n // 6, BLOCK), 8 * BLOCK)
-    blocks = -(-n // rows_a_block)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, places = unit(batch.column(1), width)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(places)), pa.array(_pack(x), pa.binary())], ["id", "vec"]
-            )
-
-    placed = vectors.select(key, vector).mapInArrow(run, "id long, vec binary")
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    met = placed.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pair = (F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(blocks * (blocks + 1) // 2, 10_000))
-    dealt = met.select(*pair, "block", "id", "vec").repartition(spread, "lo", "hi")
-    return dealt.groupBy("lo", "hi").applyInPandas(_compare_blocks(least, width), "a long, b long, n long")
+    by = ("g", "m", "v")
+    grouped = members.groupBy(*by).cogroup(visitors.groupBy(*by))
+    return grouped.applyInPandas(_compare(least, width, kind), "a long, b long, n long")
 
 
 def near_duplicates(
@@ -386,30 +339,39 @@ def near_duplicates(
     """``key, n_links, component_id, kept`` per row: other vectors found with a
     cosine of at least ``least``, the smallest key reachable over links, and
     whether that is the row's own."""
-    single = frame.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.min(vector).alias("v"))
-    rows = materialize(single, "vectors")
-    n = rows.count()
-    grid, width = build(rows, "v", n, least)
+    marks = F.xxhash64(vector).alias("h"), F.xxhash64(F.lit(1), vector).alias("k")  # 128 bits name a vector
+    rows = frame.select(F.col(key).alias("id"), F.col(vector).alias("v"), *marks)
+    equal = rows.where("v IS NOT NULL").groupBy("h", "k").agg(
+        F.first("v").alias("v"), F.count(F.lit(1)).alias("weight"), F.min("id").alias("least")
+    )
+    nodes = materialize(equal.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    n = nodes.count()
+    grid, width = build(nodes, "v", n, least)
+    alone = rows.select(
+        F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
+        F.col("id").isNotNull().alias("kept"),
+    )
     if grid is None:
-        counts = rows.select(F.col("id").alias("node"), F.lit(0).alias("n_links"), F.col("id").alias("component")).limit(0)
-    else:
-        if n <= VISIT * grid.cells:
-            links = _all_pairs(rows, "id", "v", least, width, n)
-        else:
-            placed = materialize(_placed(rows, "id", "v", grid, width), "placed")
-            members, visitors = _groups(placed, n, grid.cells)
-            by = ("g", "m", "v")
-            links = members.groupBy(*by).cogroup(visitors.groupBy(*by)).applyInPandas(
-                _compare(least, width), "a long, b long, n long"
-            )
-        found = materialize(links, "links")
-        sums = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
-        counts = sums.join(components(found.where("b IS NOT NULL").select("a", "b")), "node")
-    joined = frame.select(F.col(key).alias("id")).join(counts, F.col("id") == F.col("node"), "left")
-    component = F.coalesce("component", "id")
+        return alone
+    kind = "float32" if "float" in nodes.schema["v"].dataType.simpleString() else "float64"
+    placed = materialize(_placed(nodes, grid, width, kind), "placed")
+    found = materialize(_links(placed, least, width, kind), "links")
+    sums = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+    groups = components(found.where("b IS NOT NULL").select("a", "b"))
+    usable = placed.select("node", F.lit(True).alias("usable"))
+    known = nodes.select("node", "h", "k", "weight", "least").join(usable, "node").join(sums, "node", "left").join(groups, "node", "left")
+    known = known.withColumn("component", F.coalesce("component", "node"))
+    # only what has a link is looked up again
+    linked = materialize(known.where("others > 0 OR weight > 1"), "linked")
+    firsts = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = linked.join(firsts, "component").select(
+        "h", "k", "component_id", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("links")
+    )
+    joined = rows.select("id", "h", "k").join(materialize(named, "named"), ["h", "k"], "left")
+    own = F.when(F.col("links").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return joined.select(
         F.col("id").alias(key),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        own.alias("component_id"),
+        F.coalesce(own == F.col("id"), F.lit(False)).alias("kept"),
     )
