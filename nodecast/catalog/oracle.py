@@ -57,6 +57,31 @@ DAILY = f"""daily AS (
     {listed(f"avg(value) FILTER (WHERE event_type = '{m}') AS {m}" for m in EVENT_METRICS)}
   FROM events GROUP BY 1, 2)"""
 
+# history and target by time: ranges of days instead of numbers of rows
+_DAYS = "PARTITION BY node ORDER BY ts RANGE BETWEEN"
+
+
+def _exact(column: str, days: int, way: str) -> str:
+    return f"first_value({column}) OVER ({_DAYS} INTERVAL {days} DAY {way} AND INTERVAL {days} DAY {way})"
+
+
+def _span(function: str, days: int) -> str:
+    return f"{function}(value_mean) OVER ({_DAYS} INTERVAL {days - 1} DAY PRECEDING AND CURRENT ROW)"
+
+
+_TIME_COLUMNS = {
+    **{f"{c}_lag_{k}": _exact(c, k, "PRECEDING") for c in ("value_mean", "value_max") for k in (1, 2, 5)},
+    **{f"value_mean_roll_mean_{n}": _span("avg", n) for n in (3, 5)},
+    **{f"value_mean_roll_std_{n}": _span("stddev_samp", n) for n in (3, 5)},
+    **{f"value_mean_delta_{k}": f"value_mean - {_exact('value_mean', k, 'PRECEDING')}" for k in (1, 5)},
+    "target": _exact("value_max", 5, "FOLLOWING"),
+}
+TIME_NAMES = ["value_mean", "value_max", *_TIME_COLUMNS]
+TIMED = f"""timed AS (
+  SELECT node, ts, value_mean, value_max, {_exact('ts', 5, 'FOLLOWING')} AS target_ts,
+    {listed(f"{sql} AS {name}" for name, sql in _TIME_COLUMNS.items())}
+  FROM daily)"""
+
 ALIGNED = f"""aligned AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS node,
     time_bucket(INTERVAL 7 DAY, l_shipdate, TIMESTAMP '1970-01-01') AS ts,
@@ -380,6 +405,12 @@ def _feature_queries() -> dict[str, str]:
         + f"""SELECT node, {text('ts')}, {near('value_max')}, {near('target')},
   {text('target_ts', 'target_timestamp')}
 FROM ahead WHERE target_ts = ts + INTERVAL 5 DAY AND target IS NOT NULL""",
+        "time_window_features": with_(DAILY, TIMED)
+        + f"""SELECT node, {text('ts')}, {text('target_ts', 'target_timestamp')}, {listed(near(c) for c in TIME_NAMES)} FROM timed""",
+        "time_window_supervised": with_(DAILY, TIMED)
+        + f"""SELECT node, {text('ts')}, {text('target_ts', 'target_timestamp')}, {near('target')},
+  {near('value_max_lag_5')}, {near('value_mean_roll_mean_5')}
+FROM timed WHERE target IS NOT NULL AND value_max_lag_5 IS NOT NULL""",
         "history_filter": with_(*temperature)
         + f"SELECT node, {text('ts')}, {listed(near(c) for c in lag_10)} FROM usable",
         "supervised_full": with_(*temperature)

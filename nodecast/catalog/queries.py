@@ -38,7 +38,7 @@ from nodecast.models.preprocess import (
     train_medians,
 )
 from nodecast.operators import align, compare, coverage, features, metrics, quality, split
-from nodecast.operators.series import add_series_columns
+from nodecast.operators.series import add_series_columns, add_time_columns
 from nodecast.plans.predict import forecast_output
 from nodecast.plans.prepare import wide_table
 from nodecast.plans.train import select_and_test
@@ -333,6 +333,32 @@ def supervised_target(spark, folder):
     return features.exactly_ahead(rows, DEFAULT_HORIZON, EVENT_STEP)
 
 
+TIME_PLAN = FeaturePlan(
+    lag_signals=("value_mean", "value_max"), lags=(1, 2, 5), trend_signals=("value_mean",), rolling_rows=(3, 5),
+    delta_lags=(1, 5), history_columns=("value_max",),
+)
+
+
+@query
+def time_window_features(spark, folder):
+    """History by time on the daily event table: a gap gives a missing lag and a
+    shorter window, and the target is the value exactly five days on."""
+    daily = tables.event_telemetry(spark, folder).select("node", "timestamp", "value_mean", "value_max")
+    return add_time_columns(
+        daily,
+        lambda w: features.history_columns(TIME_PLAN, w) | features.future_columns("value_max", DEFAULT_HORIZON, w),
+        before=TIME_PLAN.reach, after=DEFAULT_HORIZON, step=EVENT_STEP, piece_steps=7,
+    )
+
+
+@query
+def time_window_supervised(spark, folder):
+    """Rows with a value exactly five days before and after them."""
+    daily = tables.event_telemetry(spark, folder).select("node", "timestamp", "value_mean", "value_max")
+    data = features.build_supervised(daily, "value_max", DEFAULT_HORIZON, TIME_PLAN, EVENT_STEP, 7, mode="time")
+    return data.frame.select("node", "timestamp", "target_timestamp", "target", "value_max_lag_5", "value_mean_roll_mean_5")
+
+
 @query
 def history_filter(spark, folder):
     wide = tables.telemetry(spark, folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from nodecast.config import DEFAULT_FEATURES, DEFAULT_HORIZON, DEFAULT_STEP, PIECE_STEPS, FeaturePlan
 from nodecast.functions.rowwise import is_number
 from nodecast.functions.timeline import micros_interval, minute_cycle, step_micros
-from nodecast.operators.series import Over, add_series_columns
+from nodecast.operators.series import Over, OverTime, add_series_columns, add_time_columns
 
 META = ("node", "timestamp")
 
@@ -28,11 +28,11 @@ class FeatureTable:
     target_column: str | None = None
 
 
-def lag_columns(signals: Sequence[str], lags: Sequence[int], over: Over) -> dict[str, str]:
-    return {f"{s}_lag_{k}": over(f"lag(`{s}`, {k})") for s in signals for k in lags}
+def lag_columns(signals: Sequence[str], lags: Sequence[int], over: Over | OverTime) -> dict[str, str]:
+    return {f"{s}_lag_{k}": over.lag(f"`{s}`", k) for s in signals for k in lags}
 
 
-def rolling_columns(signals: Sequence[str], sizes: Sequence[int], over: Over) -> dict[str, str]:
+def rolling_columns(signals: Sequence[str], sizes: Sequence[int], over: Over | OverTime) -> dict[str, str]:
     """Mean (one value suffices) and sample deviation (two) over recent rows."""
     columns = {}
     for signal in signals:
@@ -42,13 +42,13 @@ def rolling_columns(signals: Sequence[str], sizes: Sequence[int], over: Over) ->
     return columns
 
 
-def delta_columns(signals: Sequence[str], lags: Sequence[int], over: Over) -> dict[str, str]:
+def delta_columns(signals: Sequence[str], lags: Sequence[int], over: Over | OverTime) -> dict[str, str]:
     return {
-        f"{s}_delta_{k}": f"`{s}` - " + over(f"lag(`{s}`, {k})") for s in signals for k in lags
+        f"{s}_delta_{k}": f"`{s}` - " + over.lag(f"`{s}`", k) for s in signals for k in lags
     }
 
 
-def history_columns(plan: FeaturePlan, over: Over) -> dict[str, str]:
+def history_columns(plan: FeaturePlan, over: Over | OverTime) -> dict[str, str]:
     return (
         lag_columns(plan.lag_signals, plan.lags, over)
         | rolling_columns(plan.trend_signals, plan.rolling_rows, over)
@@ -61,14 +61,22 @@ def history_names(plan: FeaturePlan = DEFAULT_FEATURES) -> list[str]:
     return [f"{c}_lag_{max(plan.lags)}" for c in plan.history_columns]
 
 
+def window_columns(mode: str) -> Callable:
+    """How history is counted: in rows, or in steps of time."""
+    if mode not in ("rows", "time"):
+        raise ValueError(f"unknown mode {mode!r}, use rows or time")
+    return add_series_columns if mode == "rows" else add_time_columns
+
+
 def engineer_rows(
     table: DataFrame,
     plan: FeaturePlan = DEFAULT_FEATURES,
     step: str = DEFAULT_STEP,
     piece_steps: int = PIECE_STEPS,
+    mode: str = "rows",
 ) -> DataFrame:
     """All rows with their lags, rolling statistics, deltas and time of day."""
-    rows = add_series_columns(
+    rows = window_columns(mode)(
         _numeric_flags(table),
         lambda over: history_columns(plan, over),
         before=plan.reach,
@@ -85,20 +93,22 @@ def build_supervised(
     plan: FeaturePlan = DEFAULT_FEATURES,
     step: str = DEFAULT_STEP,
     piece_steps: int = PIECE_STEPS,
+    mode: str = "rows",
 ) -> FeatureTable:
     """Rows whose target lies exactly ``horizon`` steps ahead.
 
-    History and target come from one window over each series.
+    History and target come from one window over each series.  With ``mode``
+    "rows" lags and rolling statistics count rows, with "time" steps of time.
     """
     if horizon < 1:
         raise ValueError("the horizon must be at least one step")
     if target_column not in table.columns:
         raise ValueError(f"there is no target column {target_column}")
 
-    def columns(over: Over) -> dict[str, str]:
+    def columns(over: Over | OverTime) -> dict[str, str]:
         return history_columns(plan, over) | future_columns(target_column, horizon, over)
 
-    rows = add_series_columns(
+    rows = window_columns(mode)(
         _numeric_flags(table), columns, plan.reach, horizon, step, piece_steps
     )
     rows = exactly_ahead(rows, horizon, step).dropna(subset=history_names(plan))
@@ -108,10 +118,10 @@ def build_supervised(
     return FeatureTable(frame, features, target_column)
 
 
-def future_columns(target_column: str, horizon: int, over: Over) -> dict[str, str]:
+def future_columns(target_column: str, horizon: int, over: Over | OverTime) -> dict[str, str]:
     return {
-        "target": over(f"lead(double(`{target_column}`), {horizon})"),
-        "target_timestamp": over(f"lead(timestamp, {horizon})"),
+        "target": over.lead(f"double(`{target_column}`)", horizon),
+        "target_timestamp": over.lead("timestamp", horizon),
     }
 
 
@@ -126,8 +136,9 @@ def build_inference_features(
     plan: FeaturePlan = DEFAULT_FEATURES,
     step: str = DEFAULT_STEP,
     piece_steps: int = PIECE_STEPS,
+    mode: str = "rows",
 ) -> FeatureTable:
-    rows = engineer_rows(table, plan, step, piece_steps).dropna(subset=history_names(plan))
+    rows = engineer_rows(table, plan, step, piece_steps, mode).dropna(subset=history_names(plan))
     features = numeric_features(rows, plan)
     return FeatureTable(rows.select(*META, *features), features)
 
@@ -196,7 +207,7 @@ def recent_rows(
     """
     reach = plan.reach
 
-    def columns(over: Over) -> dict[str, str]:
+    def columns(over: Over | OverTime) -> dict[str, str]:
         lags = lag_columns(plan.history_columns, [max(plan.lags)], over)
         return lags | {"_oldest": over.recent("first(timestamp)", reach + 1)}
 

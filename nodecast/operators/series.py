@@ -47,6 +47,42 @@ class Over:
         """Over the current row and those before it, ``count`` in all."""
         return self(function, f"{count - 1} PRECEDING AND CURRENT ROW")
 
+    def lag(self, value: str, steps: int) -> str:
+        return self(f"lag({value}, {steps})")
+
+    def lead(self, value: str, steps: int) -> str:
+        return self(f"lead({value}, {steps})")
+
+
+@dataclass(frozen=True)
+class OverTime:
+    """The same over time instead of rows: steps are spans of time, so a gap gives
+    a missing lag and a shorter window, not rows from further back.
+
+    ``at`` is the column of epoch microseconds that the frames are ranges of."""
+
+    partition: tuple[str, ...]
+    at: str
+    micros: int
+
+    def __call__(self, function: str, span: str) -> str:
+        keys = ", ".join(f"`{c}`" for c in self.partition)
+        return f"{function} OVER (PARTITION BY {keys} ORDER BY `{self.at}` RANGE BETWEEN {span})"
+
+    def _steps(self, steps: int) -> str:
+        return f"{steps * self.micros}L"
+
+    def recent(self, function: str, count: int) -> str:
+        """Over the rows of the last ``count`` steps, the current one included."""
+        return self(function, f"{self._steps(count - 1)} PRECEDING AND CURRENT ROW")
+
+    def lag(self, value: str, steps: int) -> str:
+        """The value exactly so many steps ago."""
+        return self(f"first({value})", f"{self._steps(steps)} PRECEDING AND {self._steps(steps)} PRECEDING")
+
+    def lead(self, value: str, steps: int) -> str:
+        return self(f"first({value})", f"{self._steps(steps)} FOLLOWING AND {self._steps(steps)} FOLLOWING")
+
 
 def add_series_columns(
     table: DataFrame,
@@ -69,6 +105,37 @@ def add_series_columns(
     return built.where(f"NOT {BORROWED}").selectExpr(*names)
 
 
+def add_time_columns(
+    table: DataFrame,
+    build: Callable[[OverTime], dict[str, str]],
+    before: int,
+    after: int = 0,
+    step: str = DEFAULT_STEP,
+    piece_steps: int = PIECE_STEPS,
+    key: str = "node",
+    order: str = "timestamp",
+) -> DataFrame:
+    """Add window columns that look at most ``before`` steps back in time and
+    ``after`` steps ahead.
+
+    A row lies in its own piece and is borrowed by those that begin within
+    ``before`` steps after it or end within ``after`` steps before it.  That
+    follows from the row's time alone, so the plan has one exchange.  Rows
+    without a time have none before or after them.
+    """
+    micros = step_micros(step)
+    span = micros * piece_steps
+    at = F.unix_micros(order)
+    piece = lambda moment: F.floor(moment / F.lit(span)).cast("long")
+    reached = F.sequence(piece(at - F.lit(after * micros)), piece(at + F.lit(before * micros)))
+    own = F.coalesce(piece(at), F.lit(0))
+    placed = table.withColumns({"_at": at, "_own": own}).withColumn(PIECE, F.explode(F.coalesce(reached, F.array("_own"))))
+    columns = build(OverTime((key, PIECE), "_at", micros))
+    names = [f"`{c}`" for c in (*table.columns, *columns)]
+    built = placed.selectExpr("*", *named_sql(columns))
+    return built.where(f"{PIECE} = _own").selectExpr(*names)
+
+
 def named_sql(columns: dict[str, str]) -> list[str]:
     return [f"{sql} AS {quoted_name(name)}" for name, sql in columns.items()]
 

@@ -15,7 +15,10 @@ from nodecast.operators.features import (
     one_hot_nodes,
     recent_rows,
 )
-from nodecast.operators.series import Over, add_series_columns, named_sql
+from nodecast.operators.series import Over, add_series_columns, add_time_columns, named_sql
+
+
+START_AT = datetime(2021, 1, 1, tzinfo=timezone.utc)
 
 
 def test_future_target_and_lags(telemetry):
@@ -140,3 +143,31 @@ def test_history_names():
 
 def test_engineer_rows_keeps_every_row(telemetry):
     assert engineer_rows(telemetry).count() == 80
+
+
+def test_time_windows_see_gaps(spark):
+    """Against a lookup by time, over pieces much shorter than the windows."""
+    at = [0, 1, 2, 5, 6, 7, 13, 40, 41, 45, 46, 60]
+    rows = [(n, START_AT + timedelta(minutes=m), float(m * m + k)) for k, n in enumerate("ab") for m in at[k:]]
+    frame = spark.createDataFrame(rows, "node string, timestamp timestamp, x double")
+    build = lambda over: {"lag": over.lag("x", 5), "mean": over.recent("avg(x)", 6), "next": over.lead("x", 5)}
+    found = add_time_columns(frame, build, before=5, after=5, piece_steps=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()  # not run yet
+    assert plan.count("Exchange hashpartitioning") == 1
+    values = {(n, t): x for n, t, x in rows}
+    assert found.count() == len(rows)
+    for r in found.collect():
+        t = r.timestamp.replace(tzinfo=timezone.utc)
+        held = [values.get((r.node, t - timedelta(minutes=m))) for m in range(6)]
+        held = [v for v in held if v is not None]
+        assert r.lag == values.get((r.node, t - timedelta(minutes=5))) and r.next == values.get((r.node, t + timedelta(minutes=5)))
+        assert r.mean == pytest.approx(sum(held) / len(held))
+
+
+def test_rows_and_time_agree_without_gaps(spark, telemetry):
+    by_row, by_time = (build_supervised(telemetry, "cpu_temp_max", 5, mode=m, piece_steps=13) for m in ("rows", "time"))
+    shown = lambda data: sorted(data.frame.selectExpr(*[f"round(double(`{c}`), 6) AS `{c}`" if c not in ("node", "timestamp", "target_timestamp") else c for c in data.frame.columns]).collect(), key=str)
+    # by rows the first rows of a series have shorter frames too, so the tables agree throughout
+    assert by_row.features == by_time.features and shown(by_row) == shown(by_time)
+    with pytest.raises(ValueError, match="unknown mode"):
+        build_supervised(telemetry, "cpu_temp_max", 5, mode="days")
