@@ -166,20 +166,22 @@ def blocks(html: str, weights: dict[str, float] | None = None) -> list[tuple]:
     return parser.found
 
 
-def own_features(block: tuple) -> set[str]:
+def own_features(block: tuple) -> list[str]:
     """What a block's own element and text say."""
     text, _, own, linked = block
-    found = {"own:" + own, f"length:{min(len(text).bit_length(), 12)}", f"links:{min(4, 4 * linked // len(text))}"}
-    found.add("sentence" if text[-1] in ".!?…»”\"'" else "no sentence")
-    found.update("cue:" + w for w in CUES.intersection(WORD.findall(text.lower())))
+    found = ["own:" + own, f"length:{min(len(text).bit_length(), 12)}", f"links:{min(4, 4 * linked // len(text))}"]
+    found.append("sentence" if text[-1] in ".!?…»”\"'" else "no sentence")
+    lower = text.lower()
+    if any(cue in lower for cue in CUES):  # few blocks have to be cut into words
+        found += ["cue:" + w for w in sorted(CUES.intersection(WORD.findall(lower)))]
     if "©" in text:
-        found.add("cue:©")
+        found.append("cue:©")
     return found
 
 
 def features(block: tuple) -> list[str]:
     """All features of a block that was parsed without weights."""
-    return sorted(own_features(block) | block[1])
+    return sorted(block[1].union(own_features(block)))
 
 
 class Chain:
@@ -189,7 +191,7 @@ class Chain:
         self.weights, self.moves, self.bias = weights, moves.tolist(), bias
 
     def worth(self, own: Iterable[str]) -> float:
-        return sum(self.weights.get(f, 0.0) for f in sorted(own))
+        return sum(self.weights.get(f, 0.0) for f in own)
 
     def labels(self, page: list[list[str]]) -> list[bool]:
         """Which blocks, given by their features, are content."""
