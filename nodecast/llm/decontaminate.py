@@ -8,8 +8,12 @@ joined.  The shingle's place bounds where the window can start and end; what is
 left is compared word by word.  Windows with a shingle that no document holds
 are dropped before the join.
 
-All of it is DataFrame work.  The documents' shingles are never shuffled while
-the prefixes fit ``BROADCAST_ROWS``; beyond that the join is left to Spark.
+All of it is DataFrame work.  The texts are read once to count the shingles and
+once to find the prefixes; neither shuffles them while the shingles to count fit
+``BROADCAST_TOKENS`` and the prefixes ``BROADCAST_ROWS``.  Beyond these the counts
+are added up before they are joined; of the documents only key, place and token
+go through the join with the prefixes, dealt over ``SALTS`` tasks a token, and the
+words of the candidates are fetched by a second join.
 
 Null, empty and wordless texts have no words: as documents they are clean, as
 items they match nothing.  Repeated documents each get their row; repeated
@@ -25,12 +29,18 @@ from nodecast.llm.words import gram, n_words, words
 from nodecast.session import materialize
 
 SHINGLE = 5
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS, BROADCAST_TOKENS = 500_000, 2_000_000
+SALTS = 16
 
 
-def bounded(side: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a side whose rows were counted and are few."""
-    return F.broadcast(side) if rows <= BROADCAST_ROWS else side
+def _join_few(rows: DataFrame, few: DataFrame, n: int, on: str) -> DataFrame:
+    """Rows of any number with a side of ``n`` rows, broadcast while these are
+    few; beyond, the rows of one value are dealt over several tasks."""
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(few), on)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).alias("salt")
+    copies = F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt")
+    return rows.select("*", salt).join(few.select("*", copies), [on, "salt"]).drop("salt")
 
 
 def windows(items: DataFrame, window: int, item: str, text: str) -> DataFrame:
@@ -56,48 +66,56 @@ def _shingles(phrases: DataFrame) -> DataFrame:
     return placed.select("phrase", "length", "size", F.col("pos").alias("offset"), token.alias("token"))
 
 
-def _tokens(documents: DataFrame, size: int) -> DataFrame:
-    """All shingles of one size with their places, beside the words."""
-    last = F.size("words") - size
-    placed = documents.withColumn("pos", F.explode(F.sequence(F.lit(0), F.greatest(last, F.lit(0)))))
-    return placed.where(F.col("pos") <= last).withColumn("token", gram(size))
+def _tokens(documents: DataFrame, sizes: list[int]) -> DataFrame:
+    """All shingles of the given sizes with their places, beside the words."""
+    left = F.size("words") - F.col("pos")
+    placed = documents.withColumn("pos", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)))))
+    every = F.array(*(F.when(left >= size, gram(size)) for size in sizes))
+    return placed.withColumn("token", F.explode(every)).where("token IS NOT NULL")
+
+
+def _counts(documents: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
+    """``token, count``: how often the documents hold each token of the items."""
+    wanted = materialize(shingles.select("token").distinct(), "tokens")
+    seen = _tokens(documents.select("words"), sizes).select("token")
+    if wanted.count() <= BROADCAST_TOKENS:
+        return seen.join(F.broadcast(wanted), "token").groupBy("token").count()
+    return seen.groupBy("token").count().join(wanted, "token", "left_semi")
+
+
+def _rarest(shingles: DataFrame, counts: DataFrame) -> DataFrame:
+    """``token, offset, phrase, length``: the prefix of each window of which the
+    documents hold all shingles."""
+    least = F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "token", "offset"))
+    found = shingles.join(counts, "token", "left").groupBy("phrase", "length").agg(least.alias("t")).where("t.count > 0")
+    return found.select(F.col("t.token").alias("token"), F.col("t.offset").alias("offset"), "phrase", "length")
 
 
 def hits(documents: DataFrame, items: DataFrame, window: int, item: str, text: str) -> DataFrame:
-    """``*documents (without words), start, length, phrase``: every place where
-    a window occurs.  ``documents`` has a column ``words``."""
+    """``key, mark, start, length, phrase``: every place where a window occurs.
+    ``documents`` has the columns ``key, mark, words``."""
     phrases = windows(items, window, item, text).select("phrase", "length").distinct()
     shingles = materialize(_shingles(phrases), "shingles")
     sizes = sorted(r[0] for r in shingles.select("size").distinct().collect())  # at most SHINGLE
-    known = [r for r in documents.columns if r != "words"]
-    found = None
-    for size in sizes:
-        own = shingles.where(F.col("size") == size)
-        wanted = own.select("token").distinct()
-        rows = own.count()
-        seen = _tokens(documents.select("words"), size).select("token")
-        counts = seen.join(bounded(wanted, rows), "token").groupBy("token").count()
-        rare = materialize(
-            own.join(counts, "token", "left")
-            .groupBy("phrase", "length")
-            .agg(
-                F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "token", "offset")).alias("t")
-            )
-            .where("t.count > 0")
-            .select(F.col("t.token").alias("token"), F.col("t.offset").alias("offset"), "phrase", "length"),
-            "prefixes",
-        )
-        at = F.col("pos") - F.col("offset")
-        joined = _tokens(documents, size).join(bounded(rare, rows), "token")
-        placed = joined.withColumn("start", at).where(
-            (F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.size("words"))
-        )
-        same = F.array_join(F.expr("slice(words, start + 1, length)"), " ") == F.col("phrase")
-        part = placed.where(same).select(*known, "start", "length", "phrase")
-        found = part if found is None else found.unionAll(part)
-    if found is None:
-        found = documents.select(*known, F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("phrase")).limit(0)
-    return found
+    columns = ["key", "mark", "start", "length", "phrase"]
+    if not sizes:
+        nothing = (F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("phrase"))
+        return documents.select("key", "mark", *nothing).limit(0)
+    rare = materialize(_rarest(shingles, _counts(documents, shingles, sizes)), "prefixes")
+    n = rare.count()
+    places = _tokens(documents, sizes)
+    start = (F.col("pos") - F.col("offset")).alias("start")
+    if n <= BROADCAST_ROWS:
+        found = _join_few(places, rare, n, "token").select("*", start)
+    else:
+        narrow = _join_few(places.select("key", "mark", "pos", "token"), rare, n, "token")
+        candidates = narrow.select("key", "mark", start, "length", "phrase").where("start >= 0").distinct()
+        held = materialize(candidates, "candidates").withColumnsRenamed({"key": "held_key", "mark": "held_mark"})
+        same_row = F.col("key").eqNullSafe(F.col("held_key")) & F.col("mark").eqNullSafe(F.col("held_mark"))
+        found = documents.join(held, same_row)
+    inside = found.where((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.size("words")))
+    same = F.array_join(F.expr("slice(words, start + 1, length)"), " ") == F.col("phrase")
+    return inside.where(same).select(*columns)
 
 
 def covered(spans: str) -> str:
@@ -126,13 +144,13 @@ def contamination(
     rows = documents.select(F.col(key).alias("key"), mark, n_words(F.col(text)).alias("n_words"))
     texts = documents.select(F.col(key).alias("key"), mark, words(F.col(text)).alias("words"))
     places = materialize(hits(texts, items, window, item, item_text), "hits")
-    named = windows(items, window, item, item_text).select("phrase", F.col("item").cast("string"))
+    named = windows(items, window, item, item_text).select("phrase", F.col("item").cast("string")).distinct()
+    named = materialize(named, "names")
     by_document = places.groupBy("key", "mark")
     spans = by_document.agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("spans"))
+    phrases = places.select("key", "mark", "phrase").distinct()
     lists = (
-        places.select("key", "mark", "phrase")
-        .distinct()
-        .join(named.distinct(), "phrase")
+        _join_few(phrases, named, named.count(), "phrase")
         .groupBy("key", "mark")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )

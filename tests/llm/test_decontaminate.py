@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from nodecast.llm import decontaminate
@@ -40,7 +41,11 @@ def order(rows):
     return sorted(map(tuple, rows), key=repr)
 
 
-def test_random_passages(spark):
+@pytest.mark.parametrize("bound", [None, 0])
+def test_random_passages(spark, monkeypatch, bound):
+    if bound is not None:  # the way beyond the broadcasts
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", bound)
+        monkeypatch.setattr(decontaminate, "BROADCAST_TOKENS", bound)
     rnd = random.Random(2)
     vocabulary = ["the", "of", "É", "x1", "Straße", "b", "c"]
     line = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
@@ -62,12 +67,24 @@ def test_random_passages(spark):
         assert order(found) == order(plain(documents, items, window))
 
 
-def test_beyond_the_broadcast_bound(spark, monkeypatch):
-    documents = [(1, "one two three four five six"), (2, "six five four")]
-    items = [(9, "two three four five"), (8, "five four")]
-    frames = [spark.createDataFrame(r, f"{n} long, text string") for r, n in ((documents, "doc_id"), (items, "item_id"))]
+def test_beyond_the_broadcast_bound_no_texts_are_shuffled_at_each_place(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
-    assert order(decontaminate.contamination(*frames, 3, 20).collect()) == order(plain(documents, items, 3))
+    monkeypatch.setattr(decontaminate, "BROADCAST_TOKENS", 0)
+    written = {}
+    keep = decontaminate.materialize
+    monkeypatch.setattr(decontaminate, "materialize", lambda f, name: keep(written.setdefault(name, f), name))
+    documents = spark.createDataFrame([(i, "one two three four five six") for i in range(400)], "doc_id long, text string")
+    items = spark.createDataFrame([(9, "two three four five"), (8, "five four")], "item_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontaminate.contamination(documents, items, 3, 20).collect()
+        plan = written["candidates"]._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(found) == 400 and {(r.n_hit, r.n_items) for r in found} == {(4, 1)}
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning(token" in line]
+    assert dealt and all("salt" in line for line in dealt)
+    assert written["candidates"].columns == ["key", "mark", "start", "length", "phrase"]
 
 
 def test_empty_tables(spark):
