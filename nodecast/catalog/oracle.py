@@ -241,6 +241,11 @@ chosen AS (SELECT node FROM covered WHERE minimum_rows > 0 {ranked})"""
         "time_range_filter": with_(EVENTS)
         + f"""SELECT plugin, metric, node, {text('ts')}, {near('value')} FROM readings
 WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 12:00:00'""",
+        "archive_readings": with_(EVENTS)
+        + f"""SELECT plugin, metric, node, {text('ts')},
+  {near("CASE WHEN metric IN ('error', 'signup') THEN CAST(value AS FLOAT) ELSE value END", 'value')}
+FROM readings WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 12:00:00'
+  AND value IS NOT NULL AND node IS NOT NULL""",
         "node_semi_join": with_(EVENTS, event_ranked)
         + f"""SELECT node, metric, count(*) AS rows, {near('avg(value)', 'value_mean')}
 FROM readings WHERE node IN (SELECT node FROM chosen) GROUP BY node, metric""",
@@ -384,8 +389,8 @@ def _feature_queries() -> dict[str, str]:
     every = listed(
         near(c) for c in [*SIGNALS, *HISTORY_NAMES, "minute_sin", "minute_cos"]
     )
-    latest = """newest AS (
-  SELECT * FROM usable QUALIFY row_number() OVER (PARTITION BY node ORDER BY ts DESC) = 1)"""
+    whole_table = with_(*TELEMETRY) + f"""SELECT node, {text('ts')}, {listed(near(c) for c in SIGNALS)},
+  {listed(f'CAST({c} AS BIGINT) AS {c}' for c in WHOLE)} FROM wide"""
 
     def named(names, signals=()):
         return f"SELECT node, {text('ts')}, {listed(near(c) for c in [*signals, *names])} FROM engineered"
@@ -420,11 +425,13 @@ FROM timed WHERE target IS NOT NULL AND value_max_lag_5 IS NOT NULL""",
         + f"""SELECT node, {text('ts')}, {text('target_ts', 'target_timestamp')},
   {near('total_power')}, {near('target')} FROM supervised""",
         "inference_rows": with_(*temperature) + f"SELECT node, {text('ts')}, {every} FROM usable",
-        "latest_per_node": with_(*temperature, latest)
+        "latest_per_node": with_(*temperature, LATEST)
         + f"SELECT node, {text('ts')}, {every} FROM newest",
-        "forecast_rows": with_(*temperature, latest)
+        "forecast_rows": with_(*temperature, LATEST)
         + f"""SELECT node, {text('ts')}, {text('ts + INTERVAL 35 DAY', 'forecast_timestamp')},
   {near('cpu_temp_max', 'predicted_cpu_temp_max')}, 'degrees Celsius' AS unit FROM newest""",
+        "telemetry_parquet": whole_table,
+        "telemetry_csv": whole_table,
         "one_hot_nodes": with_(*TELEMETRY, "nodes AS (SELECT DISTINCT node FROM wide)")
         + f"""SELECT node, row_number() OVER (ORDER BY node) - 1 AS slot, count(*) OVER () AS width,
   {near('1.0', 'ones')} FROM nodes""",
@@ -486,6 +493,10 @@ UNION ALL SELECT 'intercept', {near('round(my - w1 * m1 / s1 - w2 * m2 / s2, 4)'
         + f"""SELECT node, {text('target_ts', 'target_timestamp')}, {near('target', 'actual')},
   {near('round(my + w1 * (cpu_temp_max - m1) / s1 + w2 * (cpu_temp_max_roll_mean_10 - m2) / s2, 4)', 'predicted')}
 FROM labelled, solved WHERE split = 'test'""",
+        "saved_ridge_latest": with_(*_split_rows(), RIDGE, LATEST)
+        + f"""SELECT node, {text('ts')}, {text('ts + INTERVAL 35 DAY', 'forecast_timestamp')},
+  {near('round(my + w1 * (cpu_temp_max - m1) / s1 + w2 * (cpu_temp_max_roll_mean_10 - m2) / s2, 4)', 'predicted_cpu_temp_max')},
+  'degrees Celsius' AS unit FROM newest, solved""",
         "representative_node": with_(*_predictions(), REPRESENTATIVE)
         + f"SELECT node, {near('variance')} FROM chosen",
         "representative_series": with_(*_predictions(), REPRESENTATIVE)
@@ -506,6 +517,9 @@ FROM range(1, 36) AS b(bin) CROSS JOIN edges LEFT JOIN counted c ON c.bin = b.bi
     }
 
 
+LATEST = """newest AS (
+  SELECT * FROM usable QUALIFY row_number() OVER (PARTITION BY node ORDER BY ts DESC) = 1)"""
+
 # least squares with penalty 100 on two inputs in population deviations: a 2 x 2 system
 RIDGE = """moments AS (
   SELECT count(*) AS n, avg(cpu_temp_max) AS m1, avg(cpu_temp_max_roll_mean_10) AS m2, avg(target) AS my,

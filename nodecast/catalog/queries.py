@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -22,6 +21,7 @@ from nodecast.config import (
     FeaturePlan,
 )
 from nodecast.functions.timeline import calendar_parts, floor_moment, minute_cycle, step_micros
+from nodecast.models.artifact import ModelFacts, artifact_path, load_model, save_model
 from nodecast.models.candidates import (
     LABEL,
     candidate_models,
@@ -39,12 +39,13 @@ from nodecast.models.preprocess import (
 )
 from nodecast.operators import align, compare, coverage, features, metrics, quality, split
 from nodecast.operators.series import add_series_columns, add_time_columns
-from nodecast.plans.predict import forecast_output
+from nodecast.plans.predict import forecast_output, forecasts
 from nodecast.plans.prepare import wide_table
 from nodecast.plans.train import select_and_test
-from nodecast.session import materialize, shared_folder, use_utc
-from nodecast.sources.readings import between, on_nodes
-from nodecast.sources.telemetry import key_problems
+from nodecast.session import materialize, scratch_path, use_utc
+from nodecast.sources.readings import between, on_nodes, read_readings
+from nodecast.sources.sinks import with_column_notes, write_csv, write_parquet
+from nodecast.sources.telemetry import key_problems, load_telemetry
 
 # the features that the queries on baseline forecasts need
 FEW_FEATURES = FeaturePlan(
@@ -59,6 +60,7 @@ QUERIES: dict[str, Query] = {}
 
 TEMPERATURE = TASKS["temperature"]
 POWER = TASKS["power"]
+KEYS = ("node", "timestamp")
 BASELINES = ("persistence", "mean_3", "mean_5", "mean_10")
 
 
@@ -99,6 +101,16 @@ def time_range_filter(spark, folder):
     return between(tables.event_readings(spark, folder), "2024-01-08", "2024-01-22T12:00:00Z")
 
 
+@query
+def archive_readings(spark, folder):
+    """The readings written as an archive of folders, and a range of time read from it."""
+    root = scratch_path(spark, "archive")
+    tables.write_archive(tables.event_readings(spark, folder), root)
+    return read_readings(
+        spark, root, [("app", m) for m in EVENT_METRICS], "2024-01-08", "2024-01-22T12:00:00Z"
+    )
+
+
 @query
 def node_semi_join(spark, folder):
     readings = tables.event_readings(spark, folder)
@@ -408,6 +420,22 @@ def forecast_rows(spark, folder):
     )
 
 
+@query
+def telemetry_parquet(spark, folder):
+    """The wide table written in order with its column notes, and loaded again."""
+    path = scratch_path(spark, "telemetry.parquet")
+    write_parquet(with_column_notes(tables.telemetry(spark, folder)), path, sort=KEYS)
+    return load_telemetry(spark, path)
+
+
+@query
+def telemetry_csv(spark, folder):
+    """The same through gzip CSV."""
+    path = scratch_path(spark, "telemetry.csv.gz")
+    write_csv(tables.telemetry(spark, folder), path, gzip=True, sort=KEYS)
+    return load_telemetry(spark, path)
+
+
 @query
 def one_hot_nodes(spark, folder):
     """The slot of each node in the one-hot vector, and the vector's size.
@@ -594,7 +622,7 @@ def _two_signal_ridge(spark, folder):
     assemble = VectorAssembler(inputCols=inputs, outputCol=VECTOR)
     vectors = assemble.transform(parts.part(split.TRAIN, split.VALIDATION))
     fitted = fit_learner(candidate_models()[0], vectors, label_facts(vectors, len(inputs)))
-    path = f"{shared_folder(spark)}/two-signal-ridge-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "two-signal-ridge")
     PipelineModel([assemble, *fitted]).write().save(path)
     return parts, vectors, inputs, PipelineModel.load(path)
 
@@ -616,6 +644,37 @@ def ridge_two_signals_forecast(spark, folder):
     return table.select("node", "target_timestamp", "actual", F.round("predicted", 4).alias("predicted"))
 
 
+@query
+def saved_ridge_latest(spark, folder):
+    """The same model saved as the training job saves it, loaded, and applied to
+    the latest row of every node."""
+    parts, _, inputs, model = _two_signal_ridge(spark, folder)
+    path = artifact_path(scratch_path(spark, "models"), TEMPERATURE.key, DEFAULT_HORIZON)
+    facts = ModelFacts(
+        task=TEMPERATURE.key,
+        target_column=TEMPERATURE.column,
+        display_name=TEMPERATURE.display_name,
+        unit=TEMPERATURE.unit,
+        horizon=DEFAULT_HORIZON,
+        step=WEEK,
+        selected_model=candidate_models()[0].name,
+        selected_parameters=candidate_models()[0].parameters,
+        selection_metric="validation_rmse",
+        train_target_end=parts.train_end.isoformat(),
+        validation_target_end=parts.validation_end.isoformat(),
+        high_temperature_threshold=None,
+        numeric_features=inputs,
+        nodes=[],
+        medians={},
+        dropped_features=[],
+        spark_version=spark.version,
+    )
+    save_model(spark, path, model, facts)
+    found = forecasts(tables.telemetry(spark, folder), *load_model(spark, path))
+    predicted = f"predicted_{TEMPERATURE.column}"
+    return found.withColumn(predicted, F.round(predicted, 4))
+
+
 @query
 def ridge_forecast(spark, folder):
     parts, _, _, model = _ridge(spark, folder)

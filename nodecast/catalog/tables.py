@@ -18,6 +18,7 @@ from nodecast.config import (
 )
 from nodecast.functions.timeline import floor_to, step_micros
 from nodecast.operators.align import add_derived_columns, summarize_core_temperatures
+from nodecast.sources.readings import READING_COLUMNS, metric_folder
 
 EVENT_METRICS = ("click", "error", "purchase", "signup", "view")
 EVENT_STEP, WEEK = "1 day", "7 days"
@@ -59,6 +60,23 @@ def event_readings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# how the folders of the archive store time, value and node, where not as above
+STORED = {
+    "error": ("date_format(timestamp, 'yyyy-MM-dd HH:mm:ss.SSSSSS')", "float(value)", "bigint(node)"),
+    "purchase": ("CAST(timestamp AS TIMESTAMP_NTZ)", "value", "int(node)"),
+    "signup": ("timestamp", "float(value)", "node"),
+}
+
+
+def write_archive(readings: DataFrame, root: str) -> None:
+    """One folder per event type, not all with the same stored types."""
+    for metric in EVENT_METRICS:
+        stored = STORED.get(metric, READING_COLUMNS)
+        columns = [f"{sql} AS {name}" for sql, name in zip(stored, READING_COLUMNS)]
+        rows = readings.where(F.col("metric") == metric).selectExpr(*columns)
+        rows.write.parquet(metric_folder(root, "app", metric))
+
+
 def lineitem_readings(spark: SparkSession, folder: str) -> DataFrame:
     """One reading per lineitem row and metric that has a value there."""
     values = [f"double({value}) AS `{name}`" for name, value in LINEITEM_METRICS.items()]

@@ -59,6 +59,11 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/nodecast-{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path of its own for a table or model that ``release`` may remove."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
 def materialize(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -68,7 +73,7 @@ def materialize(frame: DataFrame, name: str) -> DataFrame:
     lie in one folder, which ``release`` removes.
     """
     spark = frame.sparkSession
-    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+    path = scratch_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

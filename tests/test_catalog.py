@@ -8,12 +8,13 @@ import check_oracle
 from nodecast.catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-FITTED = {"ridge_forecast", "importance_of_features", "model_comparison"}
+FITTED = {"ridge_forecast", "importance_of_features", "model_comparison", "model_comparison_power"}
 SAMPLE = (
     "time_range_filter", "node_semi_join", "node_coverage_topn", "metric_full_outer_join",
     "complete_grid_left_join", "prepared_telemetry", "quality_overview", "sampling_gap",
     "duplicate_keys", "supervised_target", "history_filter", "persistence_metrics",
-    "residual_histogram", "best_model",
+    "residual_histogram", "best_model", "archive_readings", "telemetry_parquet", "telemetry_csv",
+    "saved_ridge_latest",
 )
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables are not here")
