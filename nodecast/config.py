@@ -133,6 +133,7 @@ class ForecastTask:
         return f"{self.key}_{horizon}min"
 
 
+# The tasks, their units and tolerances.
 TASKS = {
     task.key: task
     for task in (
@@ -169,6 +170,8 @@ class FeaturePlan:
 
 
 DEFAULT_FEATURES = FeaturePlan()
+
+# Step, horizon, seed and penalty that results have to agree on.
 DEFAULT_STEP = "1 minute"
 DEFAULT_HORIZON = 5
 DEFAULT_SEED = 42

@@ -38,6 +38,7 @@ def boundary_positions(
         raise ValueError("train_ratio and validation_ratio must leave room for a test part")
     if moments < 3:
         raise ValueError("a split needs at least three distinct target times")
+    # fixed formula: results have to agree on how the two places are rounded
     train = max(int(moments * train_ratio) - 1, 0)
     validation = min(max(int(moments * kept) - 1, train + 1), moments - 2)
     if validation <= train:
