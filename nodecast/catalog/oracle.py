@@ -497,6 +497,13 @@ FROM labelled, solved WHERE split = 'test'""",
         + f"""SELECT node, {text('ts')}, {text('ts + INTERVAL 35 DAY', 'forecast_timestamp')},
   {near('round(my + w1 * (cpu_temp_max - m1) / s1 + w2 * (cpu_temp_max_roll_mean_10 - m2) / s2, 4)', 'predicted_cpu_temp_max')},
   'degrees Celsius' AS unit FROM newest, solved""",
+        "node_ridge_effects": with_(*_split_rows(), RIDGE, NODE_RIDGE)
+        + f"SELECT node, k AS rows, {near('round(effect, 4)', 'effect')} FROM effects",
+        "node_ridge_forecast": with_(*_split_rows(), RIDGE, NODE_RIDGE)
+        + f"""SELECT node, {text('target_ts', 'target_timestamp')}, {near('target', 'actual')},
+  {near("""round(my + b0 + v1 * (cpu_temp_max - m1) / s1 + v2 * (cpu_temp_max_roll_mean_10 - m2) / s2
+    + coalesce(effect, 0), 4)""", 'predicted')}
+FROM labelled CROSS JOIN weights CROSS JOIN moments LEFT JOIN effects USING (node) WHERE split = 'test'""",
         "representative_node": with_(*_predictions(), REPRESENTATIVE)
         + f"SELECT node, {near('variance')} FROM chosen",
         "representative_series": with_(*_predictions(), REPRESENTATIVE)
@@ -533,6 +540,29 @@ solved AS (
     ((n + 100) * n * c2 - n * r * n * c1) / ((n + 100) * (n + 100) - n * r * n * r) AS w2
   FROM moments)"""
 
+# the same with one more input a node: each is eliminated by its own sums, a 3 x 3
+# system of the intercept and the two signals is left, solved by Cramer's rule
+NODE_RIDGE = """node_sums AS (
+  SELECT node, count(*) AS k, sum((cpu_temp_max - m1) / s1) AS t1,
+    sum((cpu_temp_max_roll_mean_10 - m2) / s2) AS t2, sum(target - my) AS ty,
+    k + 100 * (k / any_value(n)) * (1 - k / any_value(n)) AS d
+  FROM labelled, moments WHERE split <> 'test' GROUP BY node),
+left_over AS (
+  SELECT any_value(n) - sum(k * k / d) AS a00, -sum(k * t1 / d) AS a01, -sum(k * t2 / d) AS a02,
+    any_value(n) + 100 - sum(t1 * t1 / d) AS a11, any_value(n * r) - sum(t1 * t2 / d) AS a12,
+    any_value(n) + 100 - sum(t2 * t2 / d) AS a22, -sum(k * ty / d) AS r0,
+    any_value(n * c1) - sum(t1 * ty / d) AS r1, any_value(n * c2) - sum(t2 * ty / d) AS r2
+  FROM node_sums, moments),
+determinant AS (
+  SELECT *, a00 * (a11 * a22 - a12 * a12) - a01 * (a01 * a22 - a12 * a02) + a02 * (a01 * a12 - a11 * a02) AS det
+  FROM left_over),
+weights AS (
+  SELECT (r0 * (a11 * a22 - a12 * a12) - a01 * (r1 * a22 - a12 * r2) + a02 * (r1 * a12 - a11 * r2)) / det AS b0,
+    (a00 * (r1 * a22 - a12 * r2) - r0 * (a01 * a22 - a12 * a02) + a02 * (a01 * r2 - r1 * a02)) / det AS v1,
+    (a00 * (a11 * r2 - r1 * a12) - a01 * (a01 * r2 - r1 * a02) + r0 * (a01 * a12 - a11 * a02)) / det AS v2
+  FROM determinant),
+effects AS (SELECT node, k, (ty - k * b0 - t1 * v1 - t2 * v2) / d AS effect FROM node_sums, weights)"""
+
 REPRESENTATIVE = """chosen AS (
   SELECT node, var_samp(actual) AS variance FROM predictions GROUP BY node
   ORDER BY variance DESC NULLS LAST, node LIMIT 1)"""

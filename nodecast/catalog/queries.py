@@ -30,6 +30,7 @@ from nodecast.models.candidates import (
     label_facts,
 )
 from nodecast.models.importance import feature_importance
+from nodecast.models.node_ridge import fit_node_ridge, load_node_ridge
 from nodecast.models.preprocess import (
     VECTOR,
     assembled,
@@ -675,6 +676,29 @@ def saved_ridge_latest(spark, folder):
     return found.withColumn(predicted, F.round(predicted, 4))
 
 
+def _node_ridge(spark, folder):
+    """Ridge on two signals and an effect for every node, saved and loaded."""
+    parts = _parts(spark, folder)
+    inputs = [TEMPERATURE.column, f"{TEMPERATURE.column}_roll_mean_10"]
+    path = scratch_path(spark, "node-ridge")
+    fit_node_ridge(parts.part(split.TRAIN, split.VALIDATION), inputs).save(path)
+    return parts, load_node_ridge(spark, path)
+
+
+@query
+def node_ridge_effects(spark, folder):
+    """The effect of every node, none of them a model input."""
+    _, model = _node_ridge(spark, folder)
+    return model.effects.select("node", "rows", F.round("effect", 4).alias("effect"))
+
+
+@query
+def node_ridge_forecast(spark, folder):
+    parts, model = _node_ridge(spark, folder)
+    table = metrics.prediction_table(model.transform(parts.part(split.TEST)), TEMPERATURE.column)
+    return table.select("node", "target_timestamp", "actual", F.round("predicted", 4).alias("predicted"))
+
+
 @query
 def ridge_forecast(spark, folder):
     parts, _, _, model = _ridge(spark, folder)

@@ -14,7 +14,7 @@ SAMPLE = (
     "complete_grid_left_join", "prepared_telemetry", "quality_overview", "sampling_gap",
     "duplicate_keys", "supervised_target", "history_filter", "persistence_metrics",
     "residual_histogram", "best_model", "archive_readings", "telemetry_parquet", "telemetry_csv",
-    "saved_ridge_latest",
+    "saved_ridge_latest", "node_ridge_forecast",
 )
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables are not here")
