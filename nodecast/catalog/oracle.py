@@ -341,6 +341,14 @@ keys AS (SELECT node, ts, count(*) AS n FROM shipments GROUP BY node, ts)"""
         "quality_overview": with_(*TELEMETRY)
         + f"""SELECT count(DISTINCT ts) AS unique_timestamps,
   count(*) - count(DISTINCT (node, ts)) AS duplicates_node_timestamp, {span('wide')}""",
+        "quality_by_period": with_(*TELEMETRY)
+        + f"""SELECT count(DISTINCT ts) AS unique_timestamps, true AS nodes_within_bound,
+  count(*) - count(DISTINCT (node, ts)) AS duplicates_node_timestamp, {span('wide')}""",
+        "periods_of_quality": with_(*TELEMETRY)
+        + f"""SELECT {text('make_timestamp(us - us % 2419200000000)', 'period')}, count(*) AS rows,
+  count(DISTINCT ts) AS unique_timestamps, {text('min(ts)', 'first')}, {text('max(ts)', 'last')},
+  count(*) - count(DISTINCT (node, ts)) AS duplicates
+FROM (SELECT *, epoch_us(ts) AS us FROM wide) GROUP BY us - us % 2419200000000""",
         "dataset_head": with_(DAILY) + f"SELECT {span('daily')}",
         "rows_per_node": with_(*TELEMETRY) + "SELECT node, count(*) AS rows FROM wide GROUP BY node",
         "sampling_gap": with_(*TELEMETRY, gaps.format(source="wide"))
@@ -420,6 +428,9 @@ FROM timed WHERE target IS NOT NULL AND value_max_lag_5 IS NOT NULL""",
         + f"SELECT node, {text('ts')}, {listed(near(c) for c in lag_10)} FROM usable",
         "supervised_full": with_(*temperature)
         + f"""SELECT node, {text('ts')}, {text('target_ts', 'target_timestamp')},
+  {near('target')}, {every} FROM supervised""",
+        "stored_series_supervised": with_(*temperature)
+        + f"""SELECT node, {text('ts')}, {text('target_ts', 'target_timestamp')},
   {near('target')}, {every} FROM supervised""",
         "supervised_power": with_(*TELEMETRY, _rows("total_power"))
         + f"""SELECT node, {text('ts')}, {text('target_ts', 'target_timestamp')},

@@ -38,13 +38,23 @@ from nodecast.models.preprocess import (
     node_encoder,
     train_medians,
 )
-from nodecast.operators import align, compare, coverage, features, metrics, quality, split
+from nodecast.operators import (
+    align,
+    compare,
+    coverage,
+    features,
+    metrics,
+    period_quality,
+    quality,
+    split,
+)
 from nodecast.operators.series import add_series_columns, add_time_columns
 from nodecast.plans.predict import forecast_output, forecasts
 from nodecast.plans.prepare import wide_table
 from nodecast.plans.train import select_and_test
 from nodecast.session import materialize, scratch_path, use_utc
 from nodecast.sources.readings import between, on_nodes, read_readings
+from nodecast.sources.series_store import read_series
 from nodecast.sources.sinks import with_column_notes, write_csv, write_parquet
 from nodecast.sources.telemetry import key_problems, load_telemetry
 
@@ -62,6 +72,7 @@ QUERIES: dict[str, Query] = {}
 TEMPERATURE = TASKS["temperature"]
 POWER = TASKS["power"]
 KEYS = ("node", "timestamp")
+PERIOD = "28 days"
 BASELINES = ("persistence", "mean_3", "mean_5", "mean_10")
 
 
@@ -232,6 +243,25 @@ def quality_overview(spark, folder):
     return quality.quality_overview(tables.telemetry(spark, folder))
 
 
+@query
+def quality_by_period(spark, folder):
+    """The overview from stored periods: all but the nodes exact, those within the bound."""
+    path = scratch_path(spark, "periods")
+    wide = tables.telemetry(spark, folder)
+    period_quality.store_periods(wide, path, PERIOD)
+    found = period_quality.overview(spark, path)
+    nodes, bound = wide.agg(F.count_distinct("node")).scalar(), F.lit(period_quality.relative_error())
+    within = F.abs(F.col("nodes") - nodes) <= F.ceil(bound * nodes)
+    return found.withColumn("nodes_within_bound", within).withColumn("nodes", nodes)
+
+
+@query
+def periods_of_quality(spark, folder):
+    """What is stored of each period, the sketch aside."""
+    rows = period_quality.period_rows(tables.telemetry(spark, folder), PERIOD)
+    return rows.select("period", "rows", "unique_timestamps", "first", "last", "duplicates")
+
+
 @query
 def dataset_head(spark, folder):
     return quality.dataset_head(tables.event_telemetry(spark, folder))
@@ -394,6 +424,14 @@ def supervised_full(spark, folder):
     return supervised(spark, folder).frame
 
 
+@query
+def stored_series_supervised(spark, folder):
+    """The same from a table bucketed by node and piece, without an exchange."""
+    path = scratch_path(spark, "series")
+    features.store_supervised(tables.telemetry(spark, folder), path, step=WEEK)
+    return features.supervised_from_store(read_series(spark, path), TEMPERATURE.column).frame
+
+
 @query
 def supervised_power(spark, folder):
     frame = supervised(spark, folder, POWER, FEW_FEATURES).frame

@@ -11,6 +11,7 @@ from nodecast.config import DEFAULT_FEATURES, DEFAULT_HORIZON, DEFAULT_STEP, PIE
 from nodecast.functions.rowwise import is_number
 from nodecast.functions.timeline import micros_interval, minute_cycle, step_micros
 from nodecast.operators.series import Over, OverTime, add_series_columns, add_time_columns
+from nodecast.sources.series_store import BUCKETS, SeriesStore, write_series
 
 META = ("node", "timestamp")
 
@@ -100,17 +101,53 @@ def build_supervised(
     History and target come from one window over each series.  With ``mode``
     "rows" lags and rolling statistics count rows, with "time" steps of time.
     """
+    _check_target(table, target_column, horizon)
+    rows = window_columns(mode)(
+        _numeric_flags(table), _supervised_columns(target_column, horizon, plan), plan.reach, horizon, step, piece_steps
+    )
+    return _supervised_table(rows, target_column, horizon, plan, step)
+
+
+def store_supervised(
+    table: DataFrame,
+    path: str,
+    horizon: int = DEFAULT_HORIZON,
+    plan: FeaturePlan = DEFAULT_FEATURES,
+    step: str = DEFAULT_STEP,
+    piece_steps: int = PIECE_STEPS,
+    buckets: int = BUCKETS,
+) -> None:
+    """Write a table so that ``supervised_from_store`` needs no exchange, for this
+    plan and horizon or any that reach less far."""
+    write_series(_numeric_flags(table), path, plan.reach, horizon, step, piece_steps, buckets)
+
+
+def supervised_from_store(
+    store: SeriesStore,
+    target_column: str,
+    horizon: int = DEFAULT_HORIZON,
+    plan: FeaturePlan = DEFAULT_FEATURES,
+) -> FeatureTable:
+    """``build_supervised`` over a stored table, each bucket by itself."""
+    _check_target(store.pieces, target_column, horizon)
+    rows = store.add_columns(_supervised_columns(target_column, horizon, plan), plan.reach, horizon)
+    return _supervised_table(rows, target_column, horizon, plan, store.step)
+
+
+def _check_target(table: DataFrame, target_column: str, horizon: int) -> None:
     if horizon < 1:
         raise ValueError("the horizon must be at least one step")
     if target_column not in table.columns:
         raise ValueError(f"there is no target column {target_column}")
 
-    def columns(over: Over | OverTime) -> dict[str, str]:
-        return history_columns(plan, over) | future_columns(target_column, horizon, over)
 
-    rows = window_columns(mode)(
-        _numeric_flags(table), columns, plan.reach, horizon, step, piece_steps
-    )
+def _supervised_columns(target_column: str, horizon: int, plan: FeaturePlan) -> Callable[[Over | OverTime], dict[str, str]]:
+    return lambda over: history_columns(plan, over) | future_columns(target_column, horizon, over)
+
+
+def _supervised_table(
+    rows: DataFrame, target_column: str, horizon: int, plan: FeaturePlan, step: str
+) -> FeatureTable:
     rows = exactly_ahead(rows, horizon, step).dropna(subset=history_names(plan))
     rows = rows.withColumns(minute_cycle(F.col("timestamp")))
     features = numeric_features(rows, plan)

@@ -98,11 +98,17 @@ def add_series_columns(
 
     ``build`` gets the series to write over and returns SQL by column name.
     """
-    pieces = series_pieces(table, before, after, step, piece_steps, key, order)
+    return over_pieces(series_pieces(table, before, after, step, piece_steps, key, order), build, key, order)
+
+
+def over_pieces(
+    pieces: DataFrame, build: Callable[[Over], dict[str, str]], key: str = "node", order: str = "timestamp"
+) -> DataFrame:
+    """Window columns over pieces that have the borrowed rows they need; those are left out."""
     columns = build(Over((key, PIECE), order))
-    names = [f"`{c}`" for c in (*table.columns, *columns)]
+    kept = [c for c in pieces.columns if c not in (PIECE, BORROWED)]
     built = pieces.selectExpr("*", *named_sql(columns))
-    return built.where(f"NOT {BORROWED}").selectExpr(*names)
+    return built.where(f"NOT {BORROWED}").selectExpr(*map(quoted_name, (*kept, *columns)))
 
 
 def add_time_columns(

@@ -15,6 +15,7 @@ SAMPLE = (
     "duplicate_keys", "supervised_target", "history_filter", "persistence_metrics",
     "residual_histogram", "best_model", "archive_readings", "telemetry_parquet", "telemetry_csv",
     "saved_ridge_latest", "node_ridge_forecast",
+    "stored_series_supervised", "quality_by_period", "periods_of_quality",
 )
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables are not here")
