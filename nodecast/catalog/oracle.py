@@ -468,6 +468,12 @@ def _split_queries() -> dict[str, str]:
         + f"""SELECT split, count(*) AS rows, {text('max(target_ts)', 'target_end')}
 FROM labelled GROUP BY split""",
         "train_part_medians": with_(*_split_rows()) + medians,
+        "train_input_medians": with_(*_split_rows())
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, {near(f'median({c})', 'median')} FROM labelled "
+            f"WHERE split = 'train' HAVING count({c}) > 0"
+            for c in [*SIGNALS, *HISTORY_NAMES, "minute_sin", "minute_cos"]
+        ),
         "persistence_metrics": with_(*_split_rows())
         + f"""SELECT split, {_figures('target', 'cpu_temp_max', (1, 2))}
 FROM labelled GROUP BY split""",

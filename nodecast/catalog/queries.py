@@ -534,6 +534,13 @@ def train_part_medians(spark, folder):
     return train_medians(parts.part(split.TRAIN), signals)
 
 
+@query
+def train_input_medians(spark, folder):
+    """The same of every numeric input, the derived ones too."""
+    data, parts = _split_features(spark, folder)
+    return train_medians(parts.part(split.TRAIN), data.features)
+
+
 @query
 def persistence_metrics(spark, folder):
     rows = _parts(spark, folder).frame

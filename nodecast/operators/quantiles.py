@@ -1,13 +1,16 @@
-"""Exact percentiles in two passes, whatever the size of a group.
-
-The first pass builds a mergeable quantile sketch of each group and reads off
-it, for each wanted percentile, two marks that lie surely below and above it.
-The second pass counts what lies below the marks, and each value between them;
-the wanted ranks are read from the running count.  Between the marks lie about
-``6 / ACCURACY`` of a group's values, and equal values are counted together, so
-no task holds a whole group.  Marks are values of the group itself, so neither
-the spread of the values nor infinite ones matter, and the number of passes is
-fixed.  Nothing but the answer reaches the driver.
+"""Exact percentiles, whatever the size of a group.
+
+Where no group has more than ``WHOLE`` values, Spark's own exact ``percentile``
+answers, whose state is at most that many values.  Beyond it two passes do.  The
+first builds a mergeable quantile sketch of each group and reads off it, for
+each wanted percentile, two marks that lie surely below and above it.  The
+second counts what lies below the marks, and each value between them, about
+``6 / ACCURACY`` of a group's values, equal ones together.  The counted values
+are cut again into ``PARTS`` parts; the parts are added up, and only in the part
+that holds a wanted rank is that rank read from a running count.  Marks and cuts
+are values of the group itself, so neither the spread of the values nor infinite
+ones matter, and the number of passes is fixed.  Nothing but the answer and the
+size of the largest group reaches the driver.
 """
 
 from __future__ import annotations
@@ -16,6 +19,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from nodecast.session import materialize
+
+WHOLE = 1_000_000
+PARTS = 500
 ACCURACY = 10_000
 """The sketch finds a value whose rank is wrong by at most 1 / ACCURACY of the group."""
 
@@ -30,9 +37,13 @@ def exact_percentiles(
     is not listed.  Without keys there is one row, or none without values.
     """
     keys = list(keys)
+    given = values.select(*keys, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    if _largest(given, keys) <= WHOLE:
+        found = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probabilities])).alias("percentiles")
+        return given.groupBy(*keys).agg(F.count("_v").alias("n"), found).where("n > 0")
     places = [(float(p), (F.col("n") - 1) * F.lit(float(p))) for p in probabilities]
     marks = [(p, F.floor(at), F.ceil(at)) for p, at in places]
-    held = _at_ranks(values.select(*keys, F.col(value).cast("double").alias("_v")), keys, marks)
+    held = _at_ranks(given, keys, marks)
     share = F.element_at(F.array(*(at for _, at in places)), F.col("_place") + 1) - F.col("_first")
     between = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
         F.col("low") + (F.col("high") - F.col("low")) * share
@@ -43,6 +54,12 @@ def exact_percentiles(
     return gathered.select(*keys, "n", F.col("_all._found").alias("percentiles"))
 
 
+def _largest(given: DataFrame, keys: list[str]) -> int:
+    """The number of values in the largest group."""
+    sizes = given.groupBy(*keys).agg(F.count("_v").alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def exact_percentile(values: DataFrame, value: str, probability: float) -> float | None:
     """One percentile of one column, as a Python number."""
     found = exact_percentiles(values, [], value, [probability]).first()
@@ -51,9 +68,12 @@ def exact_percentile(values: DataFrame, value: str, probability: float) -> float
 
 def values_at_ranks(values: DataFrame, value: str, ranks: Sequence[int], total: int) -> list[float]:
     """The values at 0-based places among the ``total`` sorted values."""
+    given = values.select(F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    if total <= WHOLE:
+        ordered = F.sort_array(F.collect_list("_v"))
+        return list(given.agg(F.array(*[F.get(ordered, F.lit(rank)) for rank in ranks]).alias("held")).first().held)
     marks = [(rank / max(total - 1, 1), F.lit(rank), F.lit(rank)) for rank in ranks]
-    held = _at_ranks(values.select(F.col(value).cast("double").alias("_v")), [], marks)
-    found = {row._place: row.low for row in held.collect()}  # one row a rank
+    found = {row._place: row.low for row in _at_ranks(given, [], marks).collect()}  # one row a rank
     return [found[place] for place in range(len(ranks))]
 
 
@@ -62,7 +82,6 @@ def _at_ranks(
 ) -> DataFrame:
     """``keys, n, _place, _first, low, high``: for each mark (a share of the group and
     two neighbouring ranks near it, which may depend on ``n``) the values at both."""
-    values = values.where("_v IS NOT NULL")
     margin = 3 / ACCURACY
     lows = [max(0.0, share - margin) for share, _, _ in marks]
     highs = [min(1.0, share + margin) for share, _, _ in marks]
@@ -93,9 +112,7 @@ def _at_ranks(
     counted = placed.groupBy(*bracket, side.alias("_side"), F.when(inside, F.col("_v")).alias("_at")).agg(
         F.count("_v").alias("_held"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
     )
-    along = Window.partitionBy(*bracket).orderBy("_side", "_at")
-    upto = F.sum("_held").over(along)
-    ranked = counted.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_held"))
+    ranked = _running(materialize(counted, "counted"), bracket)
 
     def at(rank: str) -> Column:
         """The value at a rank: one between the marks, or the nearest one beyond."""
@@ -111,6 +128,28 @@ def _at_ranks(
     return ranked.groupBy(*bracket).agg(at("_first").alias("low"), at("_second").alias("high"))
 
 
+def _running(counted: DataFrame, bracket: list[str]) -> DataFrame:
+    """The counted values of the parts that hold a wanted rank, each from ``_start`` to ``_end``.
+
+    What lies below the marks is the first part, what lies above them the last."""
+    steps = F.array(*[F.lit(k / PARTS) for k in range(1, PARTS)])
+    cuts = counted.where("_side = 0").groupBy(*bracket).agg(F.percentile_approx("_at", steps, 10 * PARTS).alias("_cuts"))
+    cuts = cuts.withColumnsRenamed({c: f"_of_{c}" for c in bracket})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in bracket]
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_at")))
+    part = F.when(F.col("_side") < 0, -1).when(F.col("_side") > 0, PARTS).otherwise(below)
+    parted = materialize(counted.join(cuts, same, "left").select(*counted.columns, part.alias("_part")), "parts")
+
+    sums = parted.groupBy(*bracket, "_part").agg(F.sum("_held").alias("_sum"))
+    upto = F.sum("_sum").over(Window.partitionBy(*bracket).orderBy("_part"))
+    begun = sums.withColumn("_until", upto).withColumn("_from", F.col("_until") - F.col("_sum"))
+    holds = [(F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_until")) for rank in ("_first", "_second")]
+    wanted = begun.where(holds[0] | holds[1]).select(*[F.col(c).alias(f"_of_{c}") for c in [*bracket, "_part"]], "_from")
+    chosen = parted.join(wanted, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*bracket, "_part"]])
+    inside = F.sum("_held").over(Window.partitionBy(*bracket, "_part").orderBy("_at"))
+    return chosen.withColumn("_end", F.col("_from") + inside).withColumn("_start", F.col("_end") - F.col("_held"))
+
+
 def _beside(values: DataFrame, brackets: DataFrame) -> DataFrame:
     """The brackets of the only group beside each value, as literals."""
     rows = brackets.collect()  # one row a mark

@@ -61,7 +61,14 @@ def numbers(spark):
     return rows, spark.createDataFrame(rows, "g string, v double").cache()
 
 
-def test_percentiles_by_group(numbers):
+@pytest.fixture(params=["whole", "sketched"])
+def either_way(request, monkeypatch):
+    """With Spark's own percentile, and as for groups that are too large for it."""
+    if request.param == "sketched":
+        monkeypatch.setattr(quantiles, "WHOLE", -1)
+
+
+def test_percentiles_by_group(numbers, either_way):
     rows, frame = numbers
     chosen = [0.0, 0.1, 0.5, 0.9, 1.0]
     found = exact_percentiles(frame, ["g"], "v", chosen)
@@ -73,7 +80,7 @@ def test_percentiles_by_group(numbers):
     assert "none" not in got
 
 
-def test_percentile_of_all_and_ranks(numbers):
+def test_percentile_of_all_and_ranks(numbers, either_way):
     rows, frame = numbers
     values = sorted(v for _, v in rows if v is not None)
     assert exact_percentile(frame, "v", 0.5) == pytest.approx(
@@ -84,9 +91,10 @@ def test_percentile_of_all_and_ranks(numbers):
     assert got == [values[p] for p in places]
 
 
-def test_percentiles_of_uneven_values(spark, monkeypatch):
-    """Infinite values, a wide lognormal spread, one large group and a coarse sketch."""
+def test_percentiles_of_uneven_values(spark, monkeypatch, either_way):
+    """Infinite values, a wide lognormal spread, one large group, a coarse sketch and few parts."""
     monkeypatch.setattr(quantiles, "ACCURACY", 50)
+    monkeypatch.setattr(quantiles, "PARTS", 7)
     chance = random.Random(5)
     rows = [("hot", chance.lognormvariate(0, 20)) for _ in range(20000)]
     rows += [("hot", math.inf), ("hot", -math.inf), (None, 3.0), (None, 5.0)]
@@ -104,7 +112,7 @@ def test_percentiles_of_uneven_values(spark, monkeypatch):
     assert exact_percentile(frame, "v", 1.0) == math.inf
 
 
-def test_percentile_of_nothing(spark):
+def test_percentile_of_nothing(spark, either_way):
     assert exact_percentile(spark.createDataFrame([], "v double"), "v", 0.5) is None
 
 
