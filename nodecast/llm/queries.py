@@ -94,7 +94,7 @@ def op8_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
     lost the record with its last id."""
     pages = table(spark, folder, "pages")
     key = F.col("page_id")
-    place = warc.file_of(key, PER_FILE).alias("file")
+    place = warc.file_of(key, PER_FILE, F.col("url")).alias("file")
     whole = pages.select(place, key.alias("key"), warc.record(key, F.col("url"), F.col("html"), DATE).alias("record"))
     rotten = F.when(key % 97 == 13, F.concat(F.lit("X"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
     lost = (key % PER_FILE == PER_FILE - 1) & (F.floor(key / PER_FILE) % 2 == 1)

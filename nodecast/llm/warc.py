@@ -3,16 +3,20 @@
 Each record is a leaf: its file, offset, length and SHA-256.  The leaves of a
 file are hashed by ordered ranges of offsets (``RANGE`` bytes), those by ranges
 ``FAN`` times as wide, and so on up to one root a file.  An audit compares the
-roots of two replicas and descends only into ranges whose hashes differ, down
-to the records that differ, are missing, or are extra.
+roots of two replicas and descends only into ranges whose hashes differ.  There
+records are aligned: those with the same digest in the same file are intact even
+if a lost or longer record before them has moved them; of the others, those with
+the same key differ, and the rest are missing or extra.
 
 A range holds a bounded number of records, so no group grows with the data.
 All of it is DataFrame work on narrow rows; record bytes are hashed where they
 are read.
 
 Records: a null payload is empty, a null address is an empty one.  Repeated
-records are separate ones at their own offsets.  Records without an id stand
-in a file of their own.  Empty tables give no records and no findings.
+records are separate ones at their own offsets, aligned in their order.  Records
+without an id stand in files of their own, spread by the hash of their address.  Only the columns
+named are read, others may have any name.  Empty tables give no records and no
+findings.
 """
 
 from __future__ import annotations
@@ -40,10 +44,13 @@ def record(key: Column, url: Column, payload: Column, date: str) -> Column:
     return F.concat(*(part for text, value in head for part in (F.lit(text), value)), F.lit(GAP), body)
 
 
-def file_of(key: Column, per_file: int) -> Column:
-    """The file of a record: so many consecutive ids to a file."""
+def file_of(key: Column, per_file: int, url: Column) -> Column:
+    """The file of a record: so many consecutive ids to a file.  Records without
+    an id go by their address, which damage to a payload leaves as it is."""
     number = F.lpad(F.floor(key / per_file).cast("string"), 9, "0")
-    return F.coalesce(F.concat(F.lit("pages-"), number, F.lit(".warc")), F.lit("pages-without-id.warc"))
+    spread = F.substring(F.sha2(F.coalesce(url, F.lit("")), 256), 1, 4)
+    without = F.concat(F.lit("pages-without-id-"), spread, F.lit(".warc"))
+    return F.coalesce(F.concat(F.lit("pages-"), number, F.lit(".warc")), without)
 
 
 def leaves(records: DataFrame) -> DataFrame:
@@ -121,7 +128,7 @@ def _differing(first: DataFrame, second: DataFrame, keys: list[str], value: str)
 def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     """``file, offset, key, length, state`` of the records that are not the same
     in both replicas.  ``state`` is ``differs``, ``missing`` (from the second) or
-    ``extra``; key and length are the first's, or the second's for extra ones."""
+    ``extra``; offset, key and length are the first's, or the second's for extra ones."""
     sides = [materialize(side, "leaves") for side in (first, second)]
     widest = max(side.agg(F.max("offset")).first()[0] or 0 for side in sides)
     height = 0
@@ -140,8 +147,28 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
         found = _differing(*nodes, keys, "hash")
         bad = materialize(found.select(*(F.coalesce(k, f"other_{k}").alias(k) for k in keys)).distinct(), "differing")
     place = F.floor(F.col("offset") / RANGE).alias("place")
-    held = [s.select("*", place).join(bad, keys, "left_semi").drop("place") for s in sides]
-    found = _differing(*held, ["file", "offset"], "digest")
+    columns = ["file", "offset", "key", "length", "digest"]
+    held = [s.select(*columns, place).join(bad, keys, "left_semi").select(*columns) for s in sides]
+    for same in (["file", "offset", "digest"], ["file", "digest"]):  # intact in place, intact but moved
+        held = _unpaired(*held, same)
+    first, second = (_numbered(side, ["file", "key"]) for side in held)
+    found = _differing(first, second, ["file", "key", "_nth"], "digest")
     state = F.when(F.col("other_digest").isNull(), "missing").when(F.col("digest").isNull(), "extra").otherwise("differs")
-    shown = [F.coalesce(c, f"other_{c}").alias(c) for c in ("file", "offset", "key", "length")]
+    inner = F.col("digest").isNotNull()  # a key may be null on the side that has the record
+    shown = [F.when(inner, F.col(c)).otherwise(F.col(f"other_{c}")).alias(c) for c in ("file", "offset", "key", "length")]
     return found.select(*shown, state.alias("state"))
+
+
+def _numbered(side: DataFrame, same: list[str]) -> DataFrame:
+    """Records that are the same by some columns of a file, numbered in their order."""
+    order = Window.partitionBy(*same).orderBy("offset", "digest", "length")
+    return side.withColumn("_nth", F.row_number().over(order))
+
+
+def _unpaired(first: DataFrame, second: DataFrame, same: list[str]) -> list[DataFrame]:
+    """The records of either side that have no partner among the other's."""
+    sides = [materialize(_numbered(side, same), "numbered") for side in (first, second)]
+    pairs = [*same, "_nth"]
+    return [
+        a.join(b.select(*pairs), pairs, "left_anti").drop("_nth") for a, b in (sides, reversed(sides))
+    ]

@@ -39,12 +39,37 @@ def test_audit(spark):
     assert warc.audit(frames[0], frames[0].limit(0)).count() == len(first)
 
 
+def leaves_of(spark, rows):
+    """Leaves of (file, key, record), with a column of the same name as one of the tree's."""
+    frame = spark.createDataFrame(rows, "file string, key long, record string")
+    return warc.leaves(frame).withColumn("place", F.lit("x")).withColumn("hash", F.lit(1))
+
+
+def test_a_lost_a_longer_and_repeated_records_in_the_middle(spark):
+    rows = [("f", k, f"{k} " * (500 + k % 7 * 900)) for k in range(300)]
+    rows += [("f", 5, rows[5][2]), ("f", None, "no id"), ("f", None, "no id"), ("f", None, "another")]
+    first = leaves_of(spark, rows)
+    changed = [(f, k, r + "rot" if k == 200 else r) for f, k, r in rows if k != 40]
+    changed.remove(("f", None, "no id"))
+    found = warc.audit(first, leaves_of(spark, changed + [("f", 1000, "new")])).collect()
+    wanted = {(40, "missing"), (200, "differs"), (None, "missing"), (1000, "extra")}
+    assert {(r.key, r.state) for r in found} == wanted and len(found) == 4
+    offsets = {r.digest: r.offset for r in first.collect()}
+    assert {r.offset for r in found if r.key in (40, 200)} <= set(offsets.values())
+
+
+def test_records_without_an_id_are_spread(spark):
+    rows = spark.range(3000).select(F.concat(F.lit("http://h/"), "id").alias("url"))
+    files = rows.select(warc.file_of(F.lit(None).cast("long"), 500, F.col("url")).alias("file"))
+    assert files.distinct().count() > 2500
+
+
 def test_files_there_and_back(spark, tmp_path):
     rows = [(i, f"http://x/{i}" if i % 3 else None, f"<p>é {i}\r\n\r\nWARC/1.1\r\n</p>" * (i % 4)) for i in range(40)]
     rows += [(7, "again", None), (None, None, "no id")]
     frame = spark.createDataFrame(rows, "key long, url string, html string").withColumn("offset", F.lit("x"))
     records = frame.select(
-        warc.file_of(F.col("key"), 25).alias("file"),
+        warc.file_of(F.col("key"), 25, F.col("url")).alias("file"),
         "key",
         warc.record(F.col("key"), F.col("url"), F.col("html"), "2020-01-01T00:00:00Z").alias("record"),
     )
