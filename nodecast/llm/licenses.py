@@ -30,7 +30,8 @@ BASE = (
     ("cc-by", "cc by"),
     ("mit", "mit license"),
 )
-# fixed values: opening passages of public licenses and their notices
+# fixed values: paragraphs of public licenses and their notices.  Each is a template of its
+# own, so that a paragraph added or left out between them takes no other along.
 PASSAGES = (
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
@@ -46,6 +47,63 @@ PASSAGES = (
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("gpl-text", "this program is free software you can redistribute it and or modify it under the terms"
      " of the gnu general public license as published by the free software foundation"),
+    ("mit-rights", "including without limitation the rights to use copy modify merge publish distribute sublicense and"
+     " or sell copies of the software and to permit persons to whom the software is furnished to do so"
+     " subject to the following conditions"),
+    ("mit-condition", "the above copyright notice and this permission notice shall be included in all copies or substantial"
+     " portions of the software"),
+    ("mit-warranty", "the software is provided as is without warranty of any kind express or implied including but not"
+     " limited to the warranties of merchantability fitness for a particular purpose and noninfringement in"
+     " no event shall the authors or copyright holders be liable for any claim damages or other liability"
+     " whether in an action of contract tort or otherwise arising from out of or in connection with the"
+     " software or the use or other dealings in the software"),
+    ("bsd-source", "redistributions of source code must retain the above copyright notice this list of conditions and"
+     " the following disclaimer"),
+    ("bsd-binary", "redistributions in binary form must reproduce the above copyright notice this list of conditions and"
+     " the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd-names", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
+     " promote products derived from this software without specific prior written permission"),
+    ("bsd-warranty", "this software is provided by the copyright holders and contributors as is and any express or implied"
+     " warranties including but not limited to the implied warranties of merchantability and fitness for a"
+     " particular purpose are disclaimed in no event shall the copyright holder or contributors be liable"
+     " for any direct indirect incidental special exemplary or consequential damages including but not"
+     " limited to procurement of substitute goods or services loss of use data or profits or business"
+     " interruption however caused and on any theory of liability whether in contract strict liability or"
+     " tort including negligence or otherwise arising in any way out of the use of this software even if"
+     " advised of the possibility of such damage"),
+    ("isc-condition", "provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc-warranty", "the software is provided as is and the author disclaims all warranties with regard to this software"
+     " including all implied warranties of merchantability and fitness in no event shall the author be"
+     " liable for any special direct indirect or consequential damages or any damages whatsoever resulting"
+     " from loss of use data or profits whether in an action of contract negligence or other tortious"
+     " action arising out of or in connection with the use or performance of this software"),
+    ("zlib-warranty", "this software is provided as is without any express or implied warranty in no event will the authors"
+     " be held liable for any damages arising from the use of this software"),
+    ("zlib-text", "permission is granted to anyone to use this software for any purpose including commercial"
+     " applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("zlib-origin", "the origin of this software must not be misrepresented you must not claim that you wrote the"
+     " original software"),
+    ("zlib-altered", "altered source versions must be plainly marked as such and must not be misrepresented as being the"
+     " original software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("unlicense-text", "anyone is free to copy modify publish use compile sell or distribute this software either in source"
+     " code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
+    ("unlicense-dedication", "in jurisdictions that recognize copyright laws the author or authors of this software dedicate any"
+     " and all copyright interest in the software to the public domain we make this dedication for the"
+     " benefit of the public at large and to the detriment of our heirs and successors"),
+    ("boost-text", "permission is hereby granted free of charge to any person or organization obtaining a copy of the"
+     " software and accompanying documentation covered by this license the software to use reproduce"
+     " display distribute execute and transmit the software and to prepare derivative works of the software"
+     " and to permit third parties to whom the software is furnished to do so all subject to the following"),
+    ("apache-notice", "you may not use this file except in compliance with the license you may obtain a copy of the license"
+     " at"),
+    ("apache-warranty", "unless required by applicable law or agreed to in writing software distributed under the license is"
+     " distributed on an as is basis without warranties or conditions of any kind either express or implied"
+     " see the license for the specific language governing permissions and limitations under the license"),
+    ("gpl-warranty", "this program is distributed in the hope that it will be useful but without any warranty without even"
+     " the implied warranty of merchantability or fitness for a particular purpose see the gnu general"
+     " public license for more details"),
+    ("gpl-copy", "you should have received a copy of the gnu general public license along with this program"),
 )
 SHORT, LONG = 2, 5
 """Words in a k-gram of a base phrase and of a passage."""

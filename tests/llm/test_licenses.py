@@ -47,3 +47,24 @@ def test_passages_survive_small_changes(spark):
     assert [found[i].labels for i in (1, 2, 3, 4)] == ["mit-text", "mit-text", "", ""]
     assert found[1].score == 1.0 and 0.8 <= found[2].score < 1.0 and 0 < found[3].score < 0.8
     assert found[4].score == 0.0
+
+
+def test_paragraphs_are_found_whatever_stands_between_them(spark):
+    passages = dict(licenses.PASSAGES)
+    mit = ["mit-text", "mit-rights", "mit-condition", "mit-warranty"]
+    bsd = ["bsd-text", "bsd-source", "bsd-binary", "bsd-names", "bsd-warranty"]
+    added = "our own words about what this file is for and who may ask us about it " * 5
+    rows = [
+        (1, ". ".join(passages[p].upper() for p in mit)),
+        (2, passages[mit[0]] + ", " + passages[mit[1]] + ": " + added + passages[mit[2]] + added + passages[mit[3]]),
+        (3, " ".join(passages[p] for p in mit if p != "mit-condition")),
+        (4, "; ".join(passages[p] for p in bsd)),
+        (5, "; ".join(passages[p] for p in bsd if p != "bsd-names")),
+        (6, added),
+    ]
+    found = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1] == found[2] == ",".join(sorted(mit))
+    assert found[3] == ",".join(sorted(set(mit) - {"mit-condition"}))
+    assert found[4] == ",".join(sorted(bsd)) and found[5] == ",".join(sorted(set(bsd) - {"bsd-names"})) and found[6] == ""
+    assert len({label for label, _ in licenses.PASSAGES}) == len(licenses.PASSAGES)
+    assert all(text == " ".join(words(text)) for _, text in licenses.PASSAGES)
