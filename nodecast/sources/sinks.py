@@ -27,6 +27,8 @@ def write_csv(
         table = table.orderBy(*sort)
     writer = table.write.mode("overwrite").option("header", True)
     writer = writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]xxx")
+    # numbers as text shrink little more at the slower levels
+    writer = writer.option("zlib.compress.level", "BEST_SPEED")
     writer.option("compression", "gzip" if gzip else "none").csv(path)
 
 

@@ -38,8 +38,8 @@ def load_telemetry(
             raise FileNotFoundError(f"telemetry does not exist: {path}") from error
         raise
     require_columns(stored, required)
-    if name.endswith(".gz"):
-        # one gzip file is one task; spread its rows before any work is done
+    if name.endswith(".gz") and len(stored.inputFiles()) < spark.sparkContext.defaultParallelism:
+        # one gzip file is one task; spread the rows of few before any work is done
         stored = stored.repartition("node", "timestamp")
     table = typed_telemetry(stored, _numeric_extras(stored) if as_csv else ())
     if as_csv:  # text is parsed once; all later jobs read its columns
