@@ -13,7 +13,10 @@ once to find the prefixes; neither shuffles them while the shingles to count fit
 ``BROADCAST_TOKENS`` and the prefixes ``BROADCAST_ROWS``.  Beyond these the counts
 are added up before they are joined; of the documents only key, place and token
 go through the join with the prefixes, dealt over ``SALTS`` tasks a token, and the
-words of the candidates are fetched by a second join.
+words of the candidates are fetched by a second join.  Three tables are written:
+the windows as the items give them, the prefixes and the hits (beyond the bound
+the candidates too).  Shingles and names follow from the windows each time they
+are asked for.
 
 Null, empty and wordless texts have no words: as documents they are clean, as
 items they match nothing.  Repeated documents each get their row; repeated
@@ -76,7 +79,7 @@ def _tokens(documents: DataFrame, sizes: list[int]) -> DataFrame:
 
 def _counts(documents: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
     """``token, count``: how often the documents hold each token of the items."""
-    wanted = materialize(shingles.select("token").distinct(), "tokens")
+    wanted = shingles.select("token").distinct()
     seen = _tokens(documents.select("words"), sizes).select("token")
     if wanted.count() <= BROADCAST_TOKENS:
         return seen.join(F.broadcast(wanted), "token").groupBy("token").count()
@@ -91,12 +94,13 @@ def _rarest(shingles: DataFrame, counts: DataFrame) -> DataFrame:
     return found.select(F.col("t.token").alias("token"), F.col("t.offset").alias("offset"), "phrase", "length")
 
 
-def hits(documents: DataFrame, items: DataFrame, window: int, item: str, text: str) -> DataFrame:
+def hits(documents: DataFrame, cut: DataFrame) -> DataFrame:
     """``key, mark, start, length, phrase``: every place where a window occurs.
-    ``documents`` has the columns ``key, mark, words``."""
-    phrases = windows(items, window, item, text).select("phrase", "length").distinct()
-    shingles = materialize(_shingles(phrases), "shingles")
-    sizes = sorted(r[0] for r in shingles.select("size").distinct().collect())  # at most SHINGLE
+    ``documents`` has the columns ``key, mark, words``; ``cut`` is what ``windows``
+    gives, written."""
+    shingles = _shingles(cut.select("phrase", "length").distinct())
+    size = F.least("length", F.lit(SHINGLE))
+    sizes = sorted(r[0] for r in cut.select(size).distinct().collect())  # at most SHINGLE
     columns = ["key", "mark", "start", "length", "phrase"]
     if not sizes:
         nothing = (F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("phrase"))
@@ -143,9 +147,9 @@ def contamination(
     mark = F.xxhash64(F.col(text)).alias("mark")  # tells rows that share a key apart
     rows = documents.select(F.col(key).alias("key"), mark, n_words(F.col(text)).alias("n_words"))
     texts = documents.select(F.col(key).alias("key"), mark, words(F.col(text)).alias("words"))
-    places = materialize(hits(texts, items, window, item, item_text), "hits")
-    named = windows(items, window, item, item_text).select("phrase", F.col("item").cast("string")).distinct()
-    named = materialize(named, "names")
+    cut = materialize(windows(items, window, item, item_text), "windows")
+    places = materialize(hits(texts, cut), "hits")
+    named = cut.select("phrase", F.col("item").cast("string")).distinct()
     by_document = places.groupBy("key", "mark")
     spans = by_document.agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("spans"))
     phrases = places.select("key", "mark", "phrase").distinct()

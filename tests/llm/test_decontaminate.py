@@ -87,6 +87,33 @@ def test_beyond_the_broadcast_bound_no_texts_are_shuffled_at_each_place(spark, m
     assert written["candidates"].columns == ["key", "mark", "start", "length", "phrase"]
 
 
+def test_few_files_are_written_for_the_items(spark, monkeypatch):
+    files = {}
+    keep = decontaminate.materialize
+
+    def counted(frame, name):
+        written = keep(frame, name)
+        files[name] = len(written.inputFiles())
+        return written
+
+    monkeypatch.setattr(decontaminate, "materialize", counted)
+    texts = [" ".join(f"w{i}x{k}" for k in range(40)) for i in range(30)]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([*enumerate(texts[:20]), (3, texts[3])], "item_id long, text string").coalesce(1)
+    settings = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = decontaminate.contamination(documents, items, 13, 20).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert order(found) == order(plain(list(enumerate(texts)), list(enumerate(texts[:20]))))
+    assert files.pop("hits") <= documents.rdd.getNumPartitions()
+    assert sum(files.values()) <= 1 + 20  # the windows in one, the prefixes in one a shuffle partition
+
+
 def test_empty_tables(spark):
     documents = spark.createDataFrame([(1, "some words here")], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")
